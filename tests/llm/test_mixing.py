@@ -1,0 +1,73 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.llm.mixing import mix, mixed, shares
+
+
+def targets(sizes):
+    """By sharing the excess again and again."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    total, t = sum(sizes.values()), {}
+    t = {s: total * weight[s] / sum(weight.values()) for s in names}
+    for _ in range(1000):
+        excess = sum(max(0, t[s] - 3 * sizes[s]) for s in names)
+        free = [s for s in names if t[s] < 3 * sizes[s]]
+        t = {s: min(t[s], 3 * sizes[s]) for s in names}
+        if excess < 1e-9 or not free:
+            break
+        whole = sum(weight[s] for s in free)
+        for s in free:
+            t[s] += excess * weight[s] / whole
+    return t
+
+
+def test_shares():
+    for sizes in ({"a": 100, "b": 5, "c": 900}, {"a": 1, "b": 1, "c": 1000, None: 3}, {"x": 0, None: 10}, {"a": 0}, {}, {"é": 7, "z": 7, "Z": 7, "a": 70}):
+        got = {x.source: x for x in shares(list(sizes.items()), block=8)}
+        want = targets(sizes)
+        assert all(abs(got[s].target - want[s]) < 1e-6 for s in sizes), sizes
+        assert all(abs(x.take - x.target) <= 0.5 and x.take <= 3 * x.size for x in got.values())
+
+
+@pytest.mark.parametrize("block", [7, 1024])
+def test_mix(spark, messy, messy_rows, block):
+    m = mix(messy, block=block)
+    got = m.documents().collect()
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    key = lambda i, s, n: (-1 if i is None else i, s or "", n)
+    assert sorted(key(r.doc_id, r.source, r.size) for r in got) == sorted(key(r[0], r[3], size(r[1])) for r in messy_rows)
+    sizes = {}
+    for r in messy_rows:
+        sizes[r[3]] = sizes.get(r[3], 0) + size(r[1])
+    want = targets(sizes)
+    for source, n in sizes.items():
+        rows = [r for r in got if r.source == source]
+        assert all(r.source_size == n and abs(r.target - want[source]) < 1e-6 and 0 <= r.taken <= 3 * r.size for r in rows)
+        assert abs(sum(r.taken for r in rows) - want[source]) <= 0.5
+    again = mix(messy.repartition(5), block=block).documents().collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+
+
+def test_schedule(spark, messy):
+    m = mix(messy, block=16)
+    slots = m.schedule().orderBy("position").collect()
+    need = {i: x.slots for i, x in enumerate(m.shares)}
+    total = sum(need.values())
+    assert len(slots) == total
+    seen = dict.fromkeys(need, 0)
+    for n, r in enumerate(slots, 1):
+        assert r["rank"] == seen[r.s]
+        seen[r.s] += 1
+        assert all(abs(seen[s] - n * need[s] / total) < 6 for s in need)  # the mix is near its targets at any point
+    words = {r.s: r.w for r in m.schedule().groupBy("s").agg(F.sum("words").alias("w")).collect()}
+    assert all(words.get(i, 0) == x.take for i, x in enumerate(m.shares))
+
+
+def test_rows(spark, messy, none):
+    rows = mixed(messy)
+    assert rows.columns == messy.columns
+    assert rows.groupBy("doc_id", "text").count().where("count > 6").count() == 0 and rows.count()
+    assert mix(none).documents().count() == 0 and mixed(none).count() == 0
