@@ -69,9 +69,10 @@ def samples(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", samp
     return random.unionByName(words.select(F.explode(names).alias("value"), F.lit(0).alias("label")))
 
 
-def train(labelled: DataFrame, smooth: float = 0.5) -> list[float]:
+def train(labelled: DataFrame, smooth: float = 0.5, back: float = 4.0) -> list[float]:
     """The 128 x 128 log-likelihood ratios of transitions, random over ordinary, from (value,
-    label); a smoothed count of 0 stands where a transition was never seen."""
+    label). Each model's transitions count `back` more, shared as its characters are, and
+    each character `smooth` more."""
     value = F.regexp_replace("value", r"[^A-Za-z0-9+/_=-]", "")
     pairs = F.transform(F.sequence(F.lit(1), F.char_length("v") - 1), lambda i: F.ascii(F.substring("v", i, 1)) * 128 + F.ascii(F.substring("v", i + 1, 1)))
     counts = labelled.select(value.alias("v"), "label").where("char_length(v) > 1").select("label", F.explode(pairs).alias("p")).groupBy("label", "p").agg(F.count("*").alias("n"))
@@ -79,12 +80,16 @@ def train(labelled: DataFrame, smooth: float = 0.5) -> list[float]:
     model = {y: [0.0] * (128 * 128) for y in (0, 1)}
     for r in counts.collect():  # 2 * 67 * 67 rows at most
         model[r.label][r.p] = float(r.n)
+    share: dict[int, dict[tuple[int, int], float]] = {}
+    for y, n in model.items():
+        ends = {b: sum(n[a * 128 + b] for a in alphabet) + smooth for b in alphabet}
+        whole = sum(ends.values())
+        for a in alphabet:  # a character that is rarely left says little of its own; then the ends' overall shares hold
+            left = sum(n[a * 128 + b] for b in alphabet) + back
+            share.setdefault(y, {}).update({(a, b): (n[a * 128 + b] + back * ends[b] / whole) / left for b in alphabet})
     out = [0.0] * (128 * 128)
-    for a in alphabet:
-        total = {y: sum(model[y][a * 128 + b] + smooth for b in alphabet) for y in (0, 1)}
-        for b in alphabet:
-            share = {y: (model[y][a * 128 + b] + smooth) / total[y] for y in (0, 1)}
-            out[a * 128 + b] = round(math.log(share[1] / share[0]), 4)
+    for a, b in share[0]:
+        out[a * 128 + b] = round(math.log(share[1][a, b] / share[0][a, b]), 4)
     return out
 
 
