@@ -21,6 +21,6 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    s.sparkContext.environment["PYTHONPATH"] = str(ROOT)
+    s.sparkContext.environment["PYTHONPATH"] = f"{ROOT}:{ROOT}/tests"
     yield s
     s.stop()
