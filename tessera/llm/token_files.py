@@ -21,7 +21,7 @@ import re
 import struct
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -38,17 +38,23 @@ MAGIC = b"TOKZ1"
 _HEAD, _TRAIL = struct.Struct("<5sB32s"), struct.Struct("<QQ5s")
 
 
+#: What a byte-level tokenizer writes for each byte: itself if it is visible, else the next
+#: character from U+0100 on.
+_PLAIN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_VISIBLE = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+
+
 class Encoder:
     """Token ids of texts by a tokenizers file; words that were seen before aren't encoded again.
 
     For tokenizers that lower-case, split at words and merge within a word only, a text's ids
-    are those of its words one after another. There, texts below U+0300 that hold no special
+    are those of its words one after another. There, texts below U+0300 that can't hold a special
     token are split here, with the tokenizer's own pattern, and only new words go through the
-    library, many at once. All other texts and tokenizers go through the library whole.
+    library's model. All other texts and tokenizers go through the library whole.
     """
 
     #: Words that are remembered at most; beyond that, all are forgotten.
-    MOST = 150_000
+    MOST = 400_000
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
     def __init__(self, path: str):
@@ -63,36 +69,42 @@ class Encoder:
         steps = [x["type"] for x in (form.get("normalizer") or {}).get("normalizers", [])]
         split = [(x["type"], x.get("pattern"), x.get("use_regex")) for x in (form.get("pre_tokenizer") or {}).get("pretokenizers", [])]
         by_word = steps == ["NFC", "Replace", "Lowercase"] and split == [("Split", {"Regex": self.PATTERN}, None), ("ByteLevel", None, False)] and not form.get("post_processor")
-        special = "|".join(re.escape(t["content"]) for t in form.get("added_tokens", []))
-        self.odd = re.compile("[^\x00-˿]" + ("|" + special if special else "")) if by_word else None
+        special = all(t["content"].startswith("<|") for t in form.get("added_tokens", []))
+        self.odd = re.compile("[^\x00-\u02ff]") if by_word and special else None
         low = sorted({x for c in range(0x300) for x in chr(c) + chr(c).lower()})
         of = lambda kind: "".join(re.escape(c) for c in low if unicodedata.category(c)[0] == kind)
         space = "\t-\r \x85\xa0"
         self.split = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{of('L')}]+|[{of('N')}]|[^{space}{of('L')}{of('N')}]+").findall
 
-    def _learn(self, words: list[str]) -> None:
-        for a in range(0, len(words), 4096):
-            part = words[a : a + 4096]
-            got = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids, of = np.array(got.ids, self.kind), np.array(got.word_ids, np.int64)
-            at = np.searchsorted(of, np.arange(len(part) + 1)) * self.width
-            raw = ids.tobytes()
-            self.words.update(zip(part, (raw[x:y] for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)), strict=True))
+    def _learn(self, words: Iterable[str]) -> None:
+        """Ids of new words, by the library's model: what it gets is what its byte-level step makes of a word."""
+        tokens, code = self.tokenizer.model.tokenize, "H" if self.width == 2 else "I"
+        for word in words:
+            ids = [t.id for t in tokens(word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(_VISIBLE))]
+            self.words[word] = struct.pack(f"<{len(ids)}{code}", *ids)
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
+    def encode(self, texts: list[str]) -> list[bytes]:
         """The serialized ids of each text."""
-        for text in texts:
-            if self.odd is None or self.odd.search(text):
-                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        out: list[list[bytes | None]] = []
+        fresh: dict[str, None] = {}
+        pending: list[tuple[int, list[str]]] = []
+        if len(self.words) > self.MOST:
+            self.words.clear()
+        get = self.words.get
+        for i, text in enumerate(texts):
+            if self.odd is None or not text.isascii() and self.odd.search(text) or "<|" in text:
+                out.append([np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()])
                 continue
             words = self.split(text.lower())
-            try:
-                yield b"".join(map(self.words.__getitem__, words))
-            except KeyError:
-                if len(self.words) > self.MOST:
-                    self.words.clear()
-                self._learn(list(set(words).difference(self.words)))
-                yield b"".join(map(self.words.__getitem__, words))
+            ids = list(map(get, words))
+            if None in ids:
+                fresh.update((w, None) for w, x in zip(words, ids, strict=True) if x is None)
+                pending.append((i, words))
+            out.append(ids)
+        self._learn(fresh)
+        for i, words in pending:
+            out[i] = [get(w) if x is None else x for w, x in zip(words, out[i], strict=True)]
+        return list(map(b"".join, out))
 
 
 _encoders: dict[str, Encoder] = {}
