@@ -329,11 +329,13 @@ def precision_summary(spark, d):
     return out.withColumn("percent", r6(F.col("percent")))
 
 
-@query(f"""{_SQL_SIDES}, l1 AS ({_SQL_L1}), k AS (SELECT cep_norm, num_norm, street_norm, min(struct_pack(lat := lat, lon := lon)) AS at FROM p JOIN l1 USING (cnpj) GROUP BY ALL)
- SELECT p.cnpj, k.at.lat AS lat, k.at.lon AS lon FROM p JOIN k USING (cep_norm, num_norm, street_norm) WHERE p.cnpj NOT IN (SELECT cnpj FROM l1)""")
+@query(f"""{_SQL_SIDES}, l1 AS ({_SQL_L1}), k AS (SELECT cep_norm, num_norm, street_norm, min(struct_pack(lat := lat, lon := lon)) AS at FROM p JOIN l1 USING (cnpj) GROUP BY ALL),
+ q AS (SELECT * FROM p UNION ALL SELECT -cnpj AS cnpj, cep_norm, num_norm, street_norm, city_norm, bairro_norm FROM p)
+ SELECT q.cnpj, k.at.lat AS lat, k.at.lon AS lon FROM q JOIN k USING (cep_norm, num_norm, street_norm) WHERE q.cnpj NOT IN (SELECT cnpj FROM l1)""")
 def same_address(spark, d):
     pois, index = _sides(spark, d)
-    return match.propagate(pois, match.layer1(pois, index))
+    twins = pois.unionByName(pois.withColumn("cnpj", -F.col("cnpj")))
+    return match.propagate(twins, match.layer1(pois, index))
 
 
 # --- geocoding ------------------------------------------------------------------------
