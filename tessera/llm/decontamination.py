@@ -41,42 +41,50 @@ _ARROW = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa
 
 
 class Index:
-    """The windows of some items and, once the shingles' frequencies are known, their prefix tokens."""
+    """The windows of some items and, once the shingles' frequencies are known, their prefix tokens.
+
+    A window is an item and a first word; words and shingles are kept by item.
+    """
 
     def __init__(self, items: list[tuple[int, str]], window: int, k: int, containment: float):
-        self.window, self.k, self.containment = window, k, containment
+        self.containment = containment
         self.ids = [i for i, _ in items]
         data = [t.encode() for _, t in items]
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in data])]).astype(np.int64)
         words = Words(np.frombuffer(b"".join(data), np.uint8), offsets, ALNUM, Powers())
-        self.item, self.words, size = [], [], []
-        for i in range(len(items)):
-            a, b = int(words.first[i]), int(words.first[i + 1])
-            text = words.text(a, b)
-            for s in range(max(1, b - a - window + 1) if b > a else 0):
-                self.item.append(i)
-                self.words.append(text[s : s + window])
-                size.append(len(self.words[-1]))
-        self.size = np.array(size, np.int64)
-        self.shingle: list[np.ndarray] = []  # of each window; a window of under k words is one shingle
-        self.width = np.minimum(self.size, k)
-        for text, n in zip(self.words, self.width.tolist(), strict=True):
-            raw = b" ".join(text)
-            one = Words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), ALNUM, Powers())
-            self.shingle.append(shingles(one, n)[0])
-        self.widths = sorted(set(self.width.tolist()))
-        self.keys = {n: np.unique(np.concatenate([s for s, m in zip(self.shingle, self.width, strict=True) if m == n])) for n in self.widths}
+        self.words = [words.text(int(a), int(b)) for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
+        count = np.array([len(w) for w in self.words], np.int64)
+        self.item_size = np.minimum(count, window)
+        self.item_width = np.minimum(self.item_size, k)  # an item of under k words is one shingle
+        many = np.where(count > 0, count - self.item_size + 1, 0)
+        self.item = np.repeat(np.arange(len(items)), many)
+        self.at = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        self.size = self.item_size[self.item]
+        self.widths = sorted(set(self.item_width[count > 0].tolist()))
+        by_width = {n: shingles(words, n)[0] for n in self.widths}
+        self.shingle = [by_width[n][a : a + c - n + 1] if c else np.empty(0, np.uint64) for n, a, c in zip(self.item_width.tolist(), words.first[:-1].tolist(), count.tolist(), strict=True)]
+        self.keys = {n: np.unique(np.concatenate([s for s, m in zip(self.shingle, self.item_width, strict=True) if m == n])) for n in self.widths}
         self.tokens: dict[int, tuple] = {}
 
+    def shingles_of(self, w: int) -> np.ndarray:
+        """The distinct shingles of window w."""
+        i, a = self.item[w], self.at[w]
+        return np.unique(self.shingle[i][a : a + self.item_size[i] - self.item_width[i] + 1])
+
+    def words_of(self, w: int) -> list[bytes]:
+        return self.words[self.item[w]][self.at[w] : self.at[w] + self.size[w]]
+
     def order(self, frequency: dict[int, np.ndarray]) -> None:
         """Keep each window's prefix: its rarest distinct shingles, and where in it they are."""
         found: dict[int, list] = {n: [] for n in self.widths}
-        for w, (s, n) in enumerate(zip(self.shingle, self.width.tolist(), strict=True)):
-            distinct, at = np.unique(s, return_index=True)
-            rarity = frequency[n][np.searchsorted(self.keys[n], distinct)]
+        rarity = [frequency[n][np.searchsorted(self.keys[n], s)] if len(s) else s for s, n in zip(self.shingle, self.item_width.tolist(), strict=True)]
+        for w, (i, a) in enumerate(zip(self.item.tolist(), self.at.tolist(), strict=True)):
+            n = int(self.item_width[i])
+            here = slice(a, a + int(self.item_size[i]) - n + 1)
+            distinct, first = np.unique(self.shingle[i][here], return_index=True)
             most = len(distinct) - math.ceil(self.containment * len(distinct) - 1e-9) + 1
-            for j in np.lexsort((distinct, rarity))[: min(most, len(distinct))]:
-                found[n].append((int(distinct[j]), w, int(at[j])))
+            for j in np.lexsort((distinct, rarity[i][here][first]))[: min(most, len(distinct))]:
+                found[n].append((int(distinct[j]), w, int(first[j])))
         for n, rows in found.items():
             rows.sort()
             key = np.array([r[0] for r in rows], np.uint64)
@@ -137,15 +145,14 @@ def _windows(index: Index, words: Words) -> tuple[np.ndarray, np.ndarray, np.nda
             fits = (start >= low) & (start + size <= high)
             start, w = start[fits], w[fits]
             for s, x, m in zip(start.tolist(), w.tolist(), size[fits].tolist(), strict=True):
-                if words.text(s, s + m) == index.words[x]:
-                    out.append((s, m, index.item[x]))
+                if words.text(s, s + m) == index.words_of(x):
+                    out.append((s, m, int(index.item[x])))
         else:
             for p, x, m, lo, hi in zip(at.tolist(), w.tolist(), size.tolist(), low.tolist(), high.tolist(), strict=True):
-                need = index.shingle[x]
-                distinct = np.unique(need)
+                distinct = index.shingles_of(x)
                 for s in range(max(lo, p - m + n), min(p, hi - m) + 1):
                     if np.isin(distinct, h[s : s + m - n + 1]).sum() >= index.containment * len(distinct) - 1e-9:
-                        out.append((s, m, index.item[x]))
+                        out.append((s, m, int(index.item[x])))
     found = np.array(sorted(set(out)), np.int64).reshape(-1, 3)
     return found[:, 0], found[:, 1], found[:, 2]
 
@@ -208,13 +215,13 @@ def _blocks(items: DataFrame, item_id: str, text: str, block_bytes: int) -> Iter
         yield sorted((r.i, r.t) for r in block.collect())
 
 
-def contamination(docs: DataFrame, items: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 13, shingle: int = 5, containment: float = 1.0, block_bytes: int = 16 << 20, into: str = "contamination") -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 13, shingle: int = 5, containment: float = 1.0, block_bytes: int = 4 << 20, into: str = "contamination") -> DataFrame:
     """`docs` with a struct column `into`: n_words, n_hit, items (sorted item ids) and runs
     ([first word, end word) of each maximal run of hit words).
 
     containment: the share of a window's distinct shingles that must lie within as many
     consecutive words of a document; at 1 the words themselves must agree, in order.
-    Defined cases: a null or empty text has no words; an item without words, id or text has
+    Item ids are integers. Defined cases: a null or empty text has no words; an item without words, id or text has
     no windows; equal item ids count once; without items nothing is hit; other columns of
     `docs` stay, one named like `into` is replaced.
     """
