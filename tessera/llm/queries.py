@@ -157,10 +157,11 @@ SELECT page_id, n AS payload_bytes,
 FROM d JOIN k USING (n, x)
 """
 
-#: Every 50-byte string, by its MD5, with the least document that it starts in, over hexadecimal digits.
+#: Every 50-byte string, by its MD5, with the least document that it starts in, over hexadecimal digits, a few thousand at a time.
 OP10_SQL = """
 WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-w AS (SELECT doc_id, p, md5_number(substr(h, 2 * p + 1, 100)) AS g FROM (SELECT doc_id, h, unnest(range(length(h) // 2 - 49)) AS p FROM t WHERE length(h) >= 100)),
+b AS (SELECT doc_id, j, substr(h, 4000 * j + 1, 4098) AS c FROM (SELECT doc_id, h, unnest(range((length(h) // 2 + 1950) // 2000)) AS j FROM t WHERE length(h) >= 100)),
+w AS (SELECT doc_id, 2000 * j + p AS p, md5_number(substr(c, 2 * p + 1, 100)) AS g FROM (SELECT doc_id, j, c, unnest(range(length(c) // 2 - 49)) AS p FROM b)),
 f AS (SELECT g, min(doc_id) AS first FROM w GROUP BY g HAVING min(doc_id) < max(doc_id)),
 c AS (SELECT doc_id, p FROM w JOIN f USING (g) WHERE first < doc_id),
 r AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS b

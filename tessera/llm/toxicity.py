@@ -128,6 +128,8 @@ def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
     rows = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("t")).join(F.broadcast(chosen), F.col("d") == F.col("i"))
     one = rows.repartition(1).sortWithinPartitions(F.xxhash64("i"), "i", F.xxhash64("t")).select("t", "y")
     got = one.mapInArrow(lambda batches: _fit_task(batches, settings), "bias double, coordinate binary, weight binary").first()
+    if got is None:  # no task ran
+        return fit([], settings)
     return Model(settings.bits, got.bias, np.frombuffer(bytes(got.coordinate), np.int32), np.frombuffer(bytes(got.weight), np.float32))
 
 

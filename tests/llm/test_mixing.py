@@ -69,5 +69,5 @@ def test_schedule(spark, messy):
 def test_rows(spark, messy, none):
     rows = mixed(messy)
     assert rows.columns == messy.columns
-    assert rows.groupBy("doc_id", "text").count().where("count > 6").count() == 0 and rows.count()
+    assert rows.groupBy("doc_id", "text").count().where("count > 9").count() == 0 and rows.count()
     assert mix(none).documents().count() == 0 and mixed(none).count() == 0
