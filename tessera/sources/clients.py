@@ -56,6 +56,11 @@ def _asked(df: DataFrame, key: str, client: Client, retry: Retry, final: tuple[i
     return df.select(key, "parameters").mapInArrow(run, f"{key} string, state string, body string")
 
 
+def request(df: DataFrame, key: str, client: Client, retry: Retry = Retry(), final: tuple[int, ...] = ()) -> DataFrame:
+    """(key, state, body) for rows of a key and a JSON column `parameters`."""
+    return _asked(df, key, client, retry, final)
+
+
 def look_up(keys: DataFrame, client: Client, key: str = "cep", retry: Retry = Retry()) -> DataFrame:
     """(key, lat, lon) of each key that was answered: 404 has no place, failures are left out."""
     rows = keys.select(F.col(key), F.to_json(F.struct(F.col(key))).alias("parameters"))
