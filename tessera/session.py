@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import logging
+from logging.handlers import RotatingFileHandler
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 #: Settings that change results, not speed.
@@ -33,3 +37,16 @@ def prepared(spark: SparkSession) -> SparkSession:
     for k, v in REQUIRED.items():
         spark.conf.set(k, v)
     return spark
+
+
+def log_to(folder: str, level: int = logging.INFO) -> logging.Logger:
+    """The package's log, on the console and in a file that starts anew at 10 MB; set up once."""
+    log = logging.getLogger("tessera")
+    if not log.handlers:
+        Path(folder).mkdir(parents=True, exist_ok=True)
+        form = logging.Formatter("%(asctime)s %(levelname)s %(name)s %(message)s")
+        for handler in (logging.StreamHandler(), RotatingFileHandler(Path(folder) / "tessera.log", maxBytes=10_000_000, backupCount=5, encoding="utf-8")):
+            handler.setFormatter(form)
+            log.addHandler(handler)
+    log.setLevel(level)
+    return log

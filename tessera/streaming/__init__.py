@@ -1,3 +1,3 @@
-from .incremental import match_batches, match_stream, progress, todo
+from .incremental import match_batches, match_stream, partial_output, progress, todo
 
-__all__ = ["match_batches", "match_stream", "progress", "todo"]
+__all__ = ["match_batches", "match_stream", "partial_output", "progress", "todo"]

@@ -62,3 +62,13 @@ def match_stream(spark: SparkSession, source: str, schema, index: DataFrame, fol
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(source)
     writer = stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def partial_output(pois: DataFrame, cache: DataFrame, path: str, categories: list[str] | None = None) -> str:
+    """The output so far, while keys are still being looked up, under a name of its own, so that
+    no later run takes it for the whole one."""
+    from ..operators.geocode import three_state
+    from ..sinks.files import write_parquet
+
+    rows = pois.where(F.col("osm_category").isin(*categories)) if categories else pois
+    return write_parquet(three_state(rows, cache), f"{path}.partial")
