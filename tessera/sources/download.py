@@ -12,7 +12,6 @@ from pathlib import Path
 from typing import Protocol
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from .archives import is_zip
 
