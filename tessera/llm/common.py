@@ -49,7 +49,6 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 _rng = np.random.Generator(np.random.PCG64(20240607))
 STEP = np.uint64(int(_rng.integers(0, 2**63)) * 2 + 1)
 TABLE = _rng.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_INVERSE = np.uint64(pow(int(STEP), -1, 2**64))
 
 
 def powers(n: int, base: np.uint64 = STEP) -> np.ndarray:

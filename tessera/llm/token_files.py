@@ -125,14 +125,14 @@ def train(docs: DataFrame, tokenizer: str, *, doc_id: str, text: str, sample: in
     """A dictionary from the ids of the `sample` documents with the least id hashes, `pieces`
     of `piece` bytes of each at most; empty where there is too little to learn from."""
     chosen = docs.select(F.col(doc_id).alias("i")).orderBy(F.xxhash64("i"), "i").limit(sample).distinct()
-    rows = docs.select(F.col(doc_id).alias("d"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(F.broadcast(chosen), F.col("d").eqNullSafe(F.col("i"))).select("d", "t")
+    rows = docs.select(F.col(doc_id).alias("d"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(F.broadcast(chosen), F.col("d") == F.col("i")).groupBy("d").agg(F.min("t").alias("t"))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = [x[: piece * pieces] for x in encoder(tokenizer).encode(batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], ["d", "x"])
 
-    got = sorted((r.d is not None, r.d or 0, bytes(r.x)) for r in rows.limit(4 * sample).mapInArrow(encoded, "d long, x binary").collect())
+    got = sorted((r.d is not None, r.d or 0, bytes(r.x)) for r in rows.mapInArrow(encoded, "d long, x binary").collect())
     samples = [x[a : a + piece] for _, _, x in got for a in range(0, len(x), piece)]
     if len(samples) < 16 or sum(map(len, samples)) < 16 * 1024:
         return b""

@@ -120,13 +120,14 @@ def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
     """A model of `label` (0 or 1), learned from at most `settings.sample` labelled documents.
 
     Defined cases: labels that are null or neither 0 nor 1, and null ids, are ignored; an id
-    with both labels counts as 1; repeated documents are learned from each time; null texts
-    are empty; without examples of both classes every score is the same.
+    with both labels counts as 1; of documents with the same id the least text is learned from;
+    null texts are empty; without examples of both classes every score is the same.
     """
     chosen = labels.select(F.col(doc_id).alias("i"), F.col(label).alias("y")).where("i is not null and y in (0, 1)").groupBy("i").agg(F.max("y").cast("int").alias("y"))
     chosen = chosen.orderBy(F.xxhash64("i"), "i").limit(settings.sample)
     rows = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("t")).join(F.broadcast(chosen), F.col("d") == F.col("i"))
-    one = rows.repartition(1).sortWithinPartitions(F.xxhash64("i"), "i", F.xxhash64("t")).select("t", "y")
+    rows = rows.groupBy("i").agg(F.min("t").alias("t"), F.max("y").alias("y"))  # so that the sample's size is a bound
+    one = rows.repartition(1).sortWithinPartitions(F.xxhash64("i"), "i").select("t", "y")
     got = one.mapInArrow(lambda batches: _fit_task(batches, settings), "bias double, coordinate binary, weight binary").first()
     if got is None:  # no task ran
         return fit([], settings)
