@@ -54,7 +54,7 @@ class Encoder:
     """
 
     #: Words that are remembered at most; beyond that, all are forgotten.
-    MOST = 400_000
+    MOST = 200_000
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
     def __init__(self, path: str):
