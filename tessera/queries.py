@@ -167,6 +167,9 @@ _kind = lambda: F.get(F.expr("array('R', 'AV', ' tv ', 'ALM', 'PCA', 'EST', 'ROD
 _line = lambda: F.split(F.regexp_replace("text", r"[\r\n]+", " "), r"\.").getItem(0)
 #: The first sentence of each document, with a preposition between its words now and then.
 _SQL_LINE = r"split_part(regexp_replace(text, '[\r\n]+', ' ', 'g'), '.', 1)"
+_text = lambda: F.regexp_replace("text", r"[\r\n]+", " ")
+#: The whole document, which the queries named ..._whole take.
+_SQL_TEXT = r"regexp_replace(text, '[\r\n]+', ' ', 'g')"
 
 
 def _sql_fold(s: str) -> str:
@@ -203,6 +206,22 @@ def norm_city(spark, d):
     return t(spark, d, "documents").select("doc_id", index_city(_line()).alias("city"))
 
 
+@query(ORACLE_SQL["norm_street_poi"].replace(_SQL_LINE, _SQL_TEXT))
+def norm_street_poi_whole(spark, d):
+    name = F.replace(_text(), F.lit(" the "), F.lit(" da "))
+    return t(spark, d, "documents").select("doc_id", poi_street(_kind(), name).alias("street"))
+
+
+@query(ORACLE_SQL["norm_street_index"].replace(_SQL_LINE, _SQL_TEXT))
+def norm_street_index_whole(spark, d):
+    return t(spark, d, "documents").select("doc_id", index_street(F.concat(F.lit("Av. "), _text(), F.lit(" do Jd"))).alias("street"))
+
+
+@query(ORACLE_SQL["norm_city"].replace(_SQL_LINE, _SQL_TEXT))
+def norm_city_whole(spark, d):
+    return t(spark, d, "documents").select("doc_id", index_city(_text()).alias("city"))
+
+
 @query(f"SELECT doc_id, {_sql_fold('text')} AS folded FROM documents")
 def fold_ascii(spark, d):
     return t(spark, d, "documents").select("doc_id", fold(F.col("text")).alias("folded"))
