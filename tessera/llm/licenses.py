@@ -1,18 +1,22 @@
 """License scans by conditional compression.
 
-Blocks of a text, its paragraphs and the lines that have a cue, are candidates. Each is
-compressed by zstandard alone and with every template as a raw dictionary; the templates are
-ranked by how much smaller the block gets, and the best are confirmed by the exact wording:
-the words of template and block are aligned, and the template is found if all but a small
-share of its words stand in the block in order. The differing words are returned.
+The paragraphs of a text that have a cue are candidates. In a paragraph, the places where
+words of a template stand close enough to hold it are searched for its exact wording: the
+words of template and place are aligned, and the template is found if all but a small share
+of its words stand there in order. Every template is searched for, at every place, so repeats
+are found one by one. Where the words don't decide between templates, the one by which
+zstandard makes the place smallest does, as a raw dictionary and compared with the place
+compressed alone. The differing words are returned.
 """
 
 from __future__ import annotations
 
-import difflib
+import itertools
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -61,68 +65,112 @@ _CUE = re.compile("|".join(map(re.escape, CUES)))
 @dataclass(frozen=True)
 class Settings:
     level: int = 9
-    #: Templates, by rank, whose wording is compared.
-    confirm: int = 4
-    #: The size reduction from which a template is ranked at all.
-    least: float = 0.15
-    #: The share of the template's words that must stand in the block, in order.
+    #: The share of the template's words that must stand in the place, in order.
     coverage: float = 0.9
 
 
+def _differences(template: list[str], words: list[str]) -> list[str]:
+    """The template's words that a longest common subsequence leaves out, then the others of `words`."""
+    most = [[0] * (len(words) + 1) for _ in range(len(template) + 1)]
+    for i in range(len(template) - 1, -1, -1):
+        for j in range(len(words) - 1, -1, -1):
+            most[i][j] = most[i + 1][j + 1] + 1 if template[i] == words[j] else max(most[i + 1][j], most[i][j + 1])
+    i, j, less, more = 0, 0, [], []
+    while i < len(template) and j < len(words):
+        if template[i] == words[j]:
+            i, j = i + 1, j + 1
+        elif most[i + 1][j] >= most[i][j + 1]:
+            less.append(f"-{template[i]}")
+            i += 1
+        else:
+            more.append(f"+{words[j]}")
+            j += 1
+    return less + [f"-{w}" for w in template[i:]] + more + [f"+{w}" for w in words[j:]]
+
+
 class Scanner:
     """The templates, compressed and split; one for each Python worker."""
 
     def __init__(self, templates: list[tuple[str, str]], s: Settings):
         self.s, self.plain = s, zstandard.ZstdCompressor(level=s.level, write_content_size=False, write_checksum=False)
-        self.templates = []
+        self.templates, self.numbers = [], {}
         for name, text in templates:
             d = zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            self.templates.append((name, zstandard.ZstdCompressor(level=s.level, dict_data=d, write_content_size=False, write_checksum=False), _WORD.findall(text.lower())))
-        self.longest = 4 * max((len(t) for _, t in templates), default=0)
-
-    def blocks(self, text: str) -> list[tuple[int, int]]:
-        """Candidate lines, and paragraphs of several lines, with a cue; overlong ones are cut
-        to windows around their cues that hold any template whole."""
-        low, out = text.lower() if len(text.lower()) == len(text) else text, set()
-        for m in _CUE.finditer(low):
-            a, b = text.rfind("\n", 0, m.start()) + 1, text.find("\n", m.end())
-            out.add((a, len(text) if b < 0 else b))
-            a, b = text.rfind("\n\n", 0, m.start()), text.find("\n\n", m.end())
-            out.add((0 if a < 0 else a + 2, len(text) if b < 0 else b))
-            out = {x for x in out if x[1] - x[0] <= 2 * self.longest} | ({(max(0, m.start() - self.longest), min(len(text), m.end() + self.longest))} if any(x[1] - x[0] > 2 * self.longest for x in out) else set())
-        return sorted(out)
-
-    def match(self, block: str) -> list[tuple[str, int, int, float, float, list[str]]]:
-        """The confirmed templates of a block, best first, with where their words begin and end in it."""
-        raw = block.lower().encode()
-        alone, found = len(self.plain.compress(raw)), []
-        ranked = sorted(((1 - len(c.compress(raw)) / alone, -i) for i, (_, c, _) in enumerate(self.templates)), reverse=True)
-        tokens = list(_WORD.finditer(block.lower() if len(block.lower()) == len(block) else block))
-        words = [t[0] for t in tokens]
-        # In a long block the template's share of the bytes is small, so the bar falls with it.
-        for reduction, i in ranked[: self.s.confirm]:
-            name, _, template = self.templates[-i]
-            if not words or reduction < self.s.least * min(1.0, len(template) / len(words)):
+            words = [w.lower() for w in _WORD.findall(text)]
+            self.templates.append((name, zstandard.ZstdCompressor(level=s.level, dict_data=d, write_content_size=False, write_checksum=False), words))
+            for w in words:
+                self.numbers.setdefault(w, len(self.numbers) + 1)  # 0 is any other word
+        #: For each template: the fewest words that must stand in a place, the most differing ones,
+        #: whether a word is the template's, whether a place may begin with it, and its positions as bits.
+        self.tests = []
+        for _, _, words in self.templates:
+            n = len(words)
+            least = next((m for m in range(n + 1) if n and m / n >= s.coverage), n + 1)
+            inside, begins, bits = np.zeros(len(self.numbers) + 1, bool), np.zeros(len(self.numbers) + 1, bool), [0] * (len(self.numbers) + 1)
+            for j, w in enumerate(words):
+                inside[self.numbers[w]] = True
+                begins[self.numbers[w]] |= j <= n - least
+                bits[self.numbers[w]] |= 1 << j
+            self.tests.append((least, max(1, round((1 - s.coverage) * 2 * n)), inside, begins, bits))
+
+    def paragraphs(self, text: str) -> Iterator[tuple[int, str]]:
+        """The paragraphs with a cue, and where they begin."""
+        if _CUE.search(text.lower()):
+            at = 0
+            for part in text.split("\n\n"):
+                if _CUE.search(part.lower()):
+                    yield at, part
+                at += len(part) + 2
+
+    def places(self, ids: np.ndarray, i: int) -> Iterator[tuple[int, int, int]]:
+        """(differing words, first word, end) of all stretches of words that hold template i."""
+        least, most, inside, begins, bits = self.tests[i]
+        n, total = len(self.templates[i][2]), len(ids)
+        own = inside[ids]
+        before = np.append(0, np.cumsum(own))
+        # A stretch has at most n + most words, and `least` of them are the template's.
+        starts = np.flatnonzero(begins[ids] & (before[np.minimum(np.arange(total) + n + most, total)] - before[:-1] >= least))
+        whole = (1 << n) - 1
+        for s in starts.tolist():
+            left, matched = whole, 0  # the longest common subsequence of template and stretch, bit by bit (Hyyrö)
+            for e, w in enumerate(ids[s : s + n + most].tolist(), s + 1):
+                here = left & bits[w]
+                if here:
+                    left = ((left + here) | (left - here)) & whole
+                    now = n - left.bit_count()
+                    differ = n + e - s - 2 * now
+                    if now > matched and now >= least and differ <= most:
+                        yield differ, s, e
+                    matched = now
+                if e - s - matched > most:
+                    break
+
+    def reduction(self, place: str, i: int) -> float:
+        """By how much template i makes a place smaller than it is compressed alone."""
+        raw = place.lower().encode()
+        return 1 - len(self.templates[i][1].compress(raw)) / len(self.plain.compress(raw))
+
+    def match(self, block: str) -> list[tuple[int, int, str, float, float, list[str]]]:
+        """The licenses of a paragraph by start; where found places overlap, the one with the fewest differing
+        words stays, on ties the longest, then the first, then the one of the greatest size reduction."""
+        tokens = list(_WORD.finditer(block))
+        words = [t[0].lower() for t in tokens]
+        ids = np.fromiter((self.numbers.get(w, 0) for w in words), np.int64, len(words))
+        found = sorted((d, tokens[s].start() - tokens[e - 1].end(), s, e, i) for i in range(len(self.templates)) for d, s, e in self.places(ids, i))
+        taken, out = np.zeros(len(words), bool), []
+        for (d, _, s, e), same in itertools.groupby(found, lambda x: x[:4]):
+            if taken[s:e].any():
                 continue
-            pieces = [m for m in difflib.SequenceMatcher(None, template, words, autojunk=False).get_matching_blocks() if m.size]
-            share = sum(m.size for m in pieces) / len(template)
-            if share >= self.s.coverage:
-                kept = {m.a + j for m in pieces for j in range(m.size)}
-                first, last = pieces[0].b, pieces[-1].b + pieces[-1].size - 1
-                inside = {m.b + j for m in pieces for j in range(m.size)}
-                differ = [f"-{w}" for j, w in enumerate(template) if j not in kept] + [f"+{words[j]}" for j in range(first, last + 1) if j not in inside]
-                if len(differ) <= max(1, round((1 - self.s.coverage) * 2 * len(template))):
-                    found.append((name, tokens[first].start(), tokens[last].end(), reduction, share, differ))
-        return sorted(found, key=lambda x: (len(x[5]), -(x[2] - x[1]), -x[3]))
+            taken[s:e] = True
+            a, b = tokens[s].start(), tokens[e - 1].end()
+            reduction, _, i = max((self.reduction(block[a:b], i), -i, i) for *_, i in same)
+            name, _, template = self.templates[i]
+            differ = _differences(template, words[s:e]) if d else []
+            out.append((a, b, name, reduction, (len(template) - sum(x[0] == "-" for x in differ)) / len(template), differ))
+        return sorted(out)
 
     def scan(self, text: str) -> list[dict]:
-        """The licenses of a text; where found places overlap, the one with the fewest differing words stays, the longest on ties."""
-        hits = [(a + s, a + e, name, r, c, d) for a, b in self.blocks(text) for name, s, e, r, c, d in self.match(text[a:b])]
-        out: list[tuple] = []
-        for h in sorted(set((*h[:5], tuple(h[5])) for h in hits), key=lambda h: (len(h[5]), h[0] - h[1], h[0], h[2], -h[3])):
-            if all(h[1] <= o[0] or o[1] <= h[0] for o in out):
-                out.append(h)
-        return [{"license": n, "start": a, "end": b, "reduction": r, "coverage": c, "differences": list(d)} for a, b, n, r, c, d in sorted(out)]
+        return [{"license": n, "start": at + a, "end": at + b, "reduction": r, "coverage": c, "differences": d} for at, block in self.paragraphs(text) for a, b, n, r, c, d in self.match(block)]
 
 
 _scanners: dict[tuple, Scanner] = {}
