@@ -18,13 +18,24 @@ def found(text):
     [
         (["MIT", "GPL-3.0"], "Released under the MIT License. This work is licensed under the GNU General Public License, version 3."),
         (["Apache-2.0", "CC-BY-4.0"], "Licensed under the Apache License, Version 2.0. Licensed under CC BY 4.0."),
+        (["MIT", "MIT", "MIT"], "Released under the MIT License. Released under the MIT License. And: released under the MIT license!"),
         ([n for n, _ in TEMPLATES], " ".join(t for _, t in TEMPLATES)),
+        ([n for n, _ in TEMPLATES] * 3, " ".join(t for _, t in TEMPLATES * 3)),
     ],
 )
 def test_several_notices_in_a_line(names, line):
     assert [(n, d) for n, _, d in found(line)] == [(n, []) for n in names]
 
 
+@pytest.mark.parametrize(("name", "template"), TEMPLATES)
+def test_every_notice_of_a_long_line(name, template):
+    rng = random.Random(template)
+    prose = lambda n: " ".join("".join(rng.choice("aeinorst") for _ in range(rng.randrange(2, 10))) for _ in range(n))
+    line = " ".join(f"{prose(rng.randrange(1, 600))} {template}" for _ in range(12)) + " " + prose(300)
+    assert [(n, d) for n, _, d in found(line)] == [(name, [])] * 12
+    assert [n for n, _, _ in found("İstanbul " + line)] == [name] * 12
+
+
 def common(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
