@@ -162,10 +162,11 @@ def _lists(values: np.ndarray, of: np.ndarray, n: int, kind: pa.DataType) -> pa.
 
 
 def find(index: Index, column: pa.Array) -> pa.Array:
-    """RESULT of each text: its words, those hit, the positions of its items, and the runs of
+    """RESULT of each text: its words, those hit, the ids of its items, and the runs of
     hit words as [first, end)."""
     data, offsets = utf8(column)
     steps, parts = Powers(), []
+    ids, which = np.unique(np.array(index.ids, np.int64), return_inverse=True)  # rows of one item id count once
     for a, b in groups(offsets, CHUNK):
         words = Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], ALNUM, steps)
         n, document, m = b - a, words.document(), len(words.start)
@@ -174,7 +175,7 @@ def find(index: Index, column: pa.Array) -> pa.Array:
         np.add.at(cover, start, 1)
         np.add.at(cover, start + size, -1)
         hit = np.cumsum(cover)[:m] > 0
-        pairs = np.unique(document[start] * len(index.ids) + item) if len(start) else np.empty(0, np.int64)
+        pairs = np.unique(document[start] * len(ids) + which[item]) if len(start) else np.empty(0, np.int64)
         edge = np.ones(m, bool)
         edge[words.first[:-1][words.first[:-1] < m]] = False  # a run ends with its document
         begins = hit & ~(np.append(False, hit[:-1]) & edge)
@@ -182,7 +183,6 @@ def find(index: Index, column: pa.Array) -> pa.Array:
         tail = np.flatnonzero(hit & ~(np.append(hit[1:], False) & np.append(edge[1:], False))) + 1
         base = words.first[document[head]] if len(head) else head
         runs = pa.FixedSizeListArray.from_arrays(pa.array(np.stack([head - base, tail - base], 1).ravel(), pa.int64()), 2).cast(pa.list_(pa.int64()))
-        ids = np.array(index.ids, np.int64)
         parts.append(
             pa.StructArray.from_arrays(
                 [
