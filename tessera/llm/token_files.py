@@ -121,15 +121,24 @@ def _dictionary(raw: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(raw) if raw else None
 
 
+def _spread(raw: bytes, piece: int, pieces: int, width: int) -> bytes:
+    """All of `raw`, or if it is longer, `pieces` of `piece` bytes of it at even distances, from its beginning to its end."""
+    if len(raw) <= piece * pieces:
+        return raw
+    last = (len(raw) - piece) // width
+    return b"".join(raw[(at := last * k // max(1, pieces - 1) * width) : at + piece] for k in range(pieces))
+
+
 def train(docs: DataFrame, tokenizer: str, *, doc_id: str, text: str, sample: int = 512, piece: int = 8192, pieces: int = 8, size: int = 1 << 16) -> bytes:
     """A dictionary from the ids of the `sample` documents with the least id hashes, `pieces`
-    of `piece` bytes of each at most; empty where there is too little to learn from."""
+    of `piece` bytes of each at most, spread over the whole text; empty where there is too little to learn from."""
     chosen = docs.select(F.col(doc_id).alias("i")).orderBy(F.xxhash64("i"), "i").limit(sample).distinct()
     rows = docs.select(F.col(doc_id).alias("d"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(F.broadcast(chosen), F.col("d") == F.col("i")).groupBy("d").agg(F.min("t").alias("t"))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = [x[: piece * pieces] for x in encoder(tokenizer).encode(batch.column(1).to_pylist())]
+            coder = encoder(tokenizer)
+            raw = [_spread(x, piece, pieces, coder.width) for x in coder.encode(batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], ["d", "x"])
 
     got = sorted((r.d is not None, r.d or 0, bytes(r.x)) for r in rows.mapInArrow(encoded, "d long, x binary").collect())
