@@ -3,8 +3,8 @@
 Strings of `least` or more key characters that no pattern covers are candidates. Two
 first-order models of characters, of random strings and of ordinary identifiers, give each
 the log-likelihood ratio of its transitions; those far enough on the random side are added
-to the patterns' spans. The models are counted from labelled samples and are one table of
-128 x 128 ratios, which travels as a literal.
+to the patterns' spans. The models are counted from made random strings and from the ordinary
+strings of all documents; they are one table of 128 x 128 ratios, which travels as a literal.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 KEY = r"[A-Za-z0-9+/_=-]{16,}"
+#: What the base spans cover.
+SECRET = "|".join([ASSIGN.removesuffix("+)") + "{12,})", ACCESS, HEX])
 KINDS = ("assign", "access", "hex", "random")
 
 SPAN = "array<struct<start:int,end:int,kind:int,value:string>>"
@@ -56,26 +58,40 @@ def _ratio(table: Column, value: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(2), F.char_length(value)), F.lit(0.0), lambda acc, i: acc + F.get(table, code(i - 1) * 128 + code(i)))
 
 
-def samples(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", sample: int = 2000, made: int = 4096) -> DataFrame:
-    """Labelled strings (value, label): 1 for random ones, made from SHA-256 digests in three
-    alphabets; 0 for ordinary ones, the words of six letters and more and the names joined of
-    two such words in the `sample` documents with the least id hashes."""
+def samples(docs: DataFrame, *, text: str = "text", made: int = 4096) -> DataFrame:
+    """Labelled strings (value, label, n): 1 for random ones, made from SHA-256 digests in three
+    alphabets; 0 for ordinary ones of all documents, n of each, and a few made ones: dates, numbers, rules.
+
+    Ordinary are, outside the patterns, the words of six letters and more, the joints of names
+    and paths of two such words, and all other strings of key characters that are too short
+    for a candidate. Longer ones, but for words in lower case, aren't counted, as those that are
+    random would make themselves ordinary.
+    """
+    spark = docs.sparkSession
     digest = F.sha2(F.concat(F.lit("sample"), F.col("id").cast("string")), 256)
     base = F.base64(F.unhex(digest))
-    random = docs.sparkSession.range(made).select(F.explode(F.array(F.substring(digest, 1, 40), F.translate(base, "=", ""), F.substring(F.translate(F.upper(base), "+/=", "QXZ"), 1, 20))).alias("value"), F.lit(1).alias("label"))
-    chosen = docs.select(F.col(doc_id).alias("i")).orderBy(F.xxhash64("i"), "i").limit(sample).distinct()
-    words = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("t")).join(F.broadcast(chosen), F.col("d") == F.col("i")).select(F.regexp_extract_all("t", F.lit("(?<![A-Za-z0-9])[A-Za-z]{6,}(?![A-Za-z0-9])"), F.lit(0)).alias("w"))
-    names = F.transform("w", lambda x, i: F.when(i % 4 == 0, F.concat(x, F.lit("_"), F.coalesce(F.get("w", i + 1), F.lit("id")))).when(i % 4 == 1, F.concat(x, F.lit("-"), F.coalesce(F.get("w", i + 1), F.lit("v2")))).when(i % 4 == 2, F.concat(x, F.initcap(F.coalesce(F.get("w", i + 1), F.lit("2024"))))).otherwise(x))
-    return random.unionByName(words.select(F.explode(names).alias("value"), F.lit(0).alias("label")))
+    one = lambda values, label: (F.explode(F.array(*values)).alias("value"), F.lit(label).alias("label"), F.lit(1).cast("long").alias("n"))
+    random = spark.range(made).select(*one([F.substring(digest, 1, 40), F.translate(base, "=", ""), F.substring(F.translate(F.upper(base), "+/=", "QXZ"), 1, 20)], 1))
+    i = F.col("id")
+    date = [i % 45 + 1990, i % 12 + 1, i % 28 + 1, i % 24, i * 7 % 60, i * 13 % 60]
+    ruled = [F.repeat(F.lit(c), 16) for c in "=-_+/"]
+    plain = spark.range(made // 32).select(*one([F.format_string("%04d-%02d-%02d-%02d-%02d-%02d", *date), F.format_string("/%04d/%02d/%02d/", *date[:3]), F.format_string("_%d_%d-v%d", *date[3:]), *ruled], 0))
+    free = F.regexp_replace(F.col(text), SECRET, " ")
+    runs = docs.select(F.regexp_extract_all(free, F.lit("(?<![A-Za-z0-9])(?:[A-Za-z]{6,15}|[A-Z]?[a-z]{15,})(?![A-Za-z0-9])"), F.lit(0)).alias("w"), F.filter(F.regexp_extract_all(free, F.lit(KEY.replace("{16,}", "{2,}")), F.lit(0)), lambda x: (F.char_length(x) < 16) & ~x.rlike("^[A-Za-z]{6,}$")).alias("s"))
+    last, first = (lambda x: F.substring(x, -1, 1)), (lambda i, n: F.substring(F.coalesce(F.get("w", i + 1), F.lit("id")), 1, n))
+    sign = lambda i: F.get(F.array(*map(F.lit, "_-/=")), i % 8)
+    joints = F.filter(F.transform("w", lambda x, i: F.when(i % 8 < 4, F.concat(last(x), sign(i), first(i, 1))).when(i % 8 < 6, F.concat(last(x), F.initcap(first(i, 2))))), lambda x: x.isNotNull())
+    ordinary = runs.select(F.explode(F.concat("w", "s", joints)).alias("value"), F.lit(0).alias("label")).groupBy("value", "label").agg(F.count("*").alias("n"))
+    return random.unionByName(plain).unionByName(ordinary)
 
 
 def train(labelled: DataFrame, smooth: float = 0.5, back: float = 4.0) -> list[float]:
     """The 128 x 128 log-likelihood ratios of transitions, random over ordinary, from (value,
-    label). Each model's transitions count `back` more, shared as its characters are, and
+    label, n). Each model's transitions count `back` more, shared as its characters are, and
     each character `smooth` more."""
     value = F.regexp_replace("value", r"[^A-Za-z0-9+/_=-]", "")
     pairs = F.transform(F.sequence(F.lit(1), F.char_length("v") - 1), lambda i: F.ascii(F.substring("v", i, 1)) * 128 + F.ascii(F.substring("v", i + 1, 1)))
-    counts = labelled.select(value.alias("v"), "label").where("char_length(v) > 1").select("label", F.explode(pairs).alias("p")).groupBy("label", "p").agg(F.count("*").alias("n"))
+    counts = labelled.select(value.alias("v"), "label", "n").where("char_length(v) > 1").select("label", "n", F.explode(pairs).alias("p")).groupBy("label", "p").agg(F.sum("n").alias("n"))
     alphabet = [c for c in range(128) if chr(c).isalnum() or chr(c) in "+/_=-"]
     model = {y: [0.0] * (128 * 128) for y in (0, 1)}
     for r in counts.collect():  # 2 * 67 * 67 rows at most
