@@ -1,4 +1,4 @@
-"""What the operators of this subpackage share: scratch tables, null-safe keys, byte kernels.
+"""What the operators of this subpackage share: scratch tables, free column names, byte kernels.
 
 The byte kernels work on a whole Arrow string array at once: they see the UTF-8 buffer and
 the offsets, never one Python string per row.
@@ -6,40 +6,22 @@ the offsets, never one Python string per row.
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
-
-_own: dict[str, str] = {}
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where that is
-    unset (local runs and tests) a temporary one."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if shared:
-        return shared.rstrip("/")
-    if "dir" not in _own:
-        _own["dir"] = tempfile.mkdtemp(prefix="tessera-")
-        atexit.register(shutil.rmtree, _own["dir"], ignore_errors=True)
-    return f"file://{_own['dir']}"
+from pyspark.sql import DataFrame
 
+from ..scratch import saved, scratch_dir, scratch_path  # noqa: F401  the operators' way to them
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
-
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """The rows written as Parquet in the shared folder and read again: lineage ends there,
-    and a lost executor costs nothing that was written."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as make it none of the table's columns."""
+    have = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in have:
+            name = f"_{name}"
+        out.append(name)
+    return out
 
 
 # --- byte kernels ---------------------------------------------------------------------
@@ -109,6 +91,13 @@ def groups(offsets: np.ndarray, most: int) -> list[tuple[int, int]]:
     return out
 
 
+def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers start[0], start[0] + 1, .. of each of the ranges, one after another."""
+    if not len(start):
+        return np.empty(0, np.int64)
+    return np.repeat(start - np.append(0, np.cumsum(size)[:-1]), size) + np.arange(size.sum())
+
+
 #: A-Z to a-z, all other bytes as they are.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32

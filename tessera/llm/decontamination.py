@@ -24,10 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM, Powers, Words, groups, saved, shingles, utf8
+from .common import ALNUM, Powers, Words, groups, ranges, saved, shingles, utf8
 
 #: Bytes of document text that one round of the kernel takes.
 CHUNK = 1 << 21
+#: Candidates whose words are compared at a time.
+CONFIRM = 1 << 13
 
 RESULT = T.StructType(
     [
@@ -41,56 +43,76 @@ _ARROW = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa
 
 
 class Index:
-    """The windows of some items and, once the shingles' frequencies are known, their prefix tokens.
+    """The distinct windows of some items and, once the shingles' frequencies are known, their prefix tokens.
 
-    A window is an item and a first word; words and shingles are kept by item.
+    A window is `size` words from the word `begin` of all items' words on; windows of the same
+    words are one, with all items that have it. A window's shingles are those of `width` words.
     """
 
     def __init__(self, items: list[tuple[int, str]], window: int, k: int, containment: float):
         self.containment = containment
-        self.ids = [i for i, _ in items]
+        self.ids, which = np.unique(np.array([i for i, _ in items], np.int64), return_inverse=True)  # rows of one item id count once
         data = [t.encode() for _, t in items]
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in data])]).astype(np.int64)
         words = Words(np.frombuffer(b"".join(data), np.uint8), offsets, ALNUM, Powers())
-        self.words = [words.text(int(a), int(b)) for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
-        count = np.array([len(w) for w in self.words], np.int64)
-        self.item_size = np.minimum(count, window)
-        self.item_width = np.minimum(self.item_size, k)  # an item of under k words is one shingle
-        many = np.where(count > 0, count - self.item_size + 1, 0)
-        self.item = np.repeat(np.arange(len(items)), many)
-        self.at = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        self.size = self.item_size[self.item]
-        self.widths = sorted(set(self.item_width[count > 0].tolist()))
-        by_width = {n: shingles(words, n)[0] for n in self.widths}
-        self.shingle = [by_width[n][a : a + c - n + 1] if c else np.empty(0, np.uint64) for n, a, c in zip(self.item_width.tolist(), words.first[:-1].tolist(), count.tolist(), strict=True)]
-        self.keys = {n: np.unique(np.concatenate([s for s, m in zip(self.shingle, self.item_width, strict=True) if m == n])) for n in self.widths}
+        count = np.diff(words.first)
+        size = np.minimum(count, window)
+        many = np.where(count > 0, count - size + 1, 0)
+        row = np.repeat(np.arange(len(items)), many)
+        begin = words.first[:-1][row] + ranges(np.zeros(len(items), np.int64), many)
+        seen: dict[bytes, int] = {}
+        spelt = words.text(0, len(words.start))
+        same = np.array([seen.setdefault(b" ".join(spelt[a : a + n]), len(seen)) for a, n in zip(begin.tolist(), size[row].tolist(), strict=True)], np.int64)
+        first = np.unique(same, return_index=True)[1]
+        self.begin, self.size = begin[first], size[row][first]
+        self.width = np.minimum(self.size, k)  # a window of under k words is one shingle
+        pairs = np.unique(same * max(1, len(self.ids)) + which[row])  # window and item, sorted by window
+        self.items = pairs % max(1, len(self.ids))
+        self.of = np.searchsorted(pairs, np.arange(len(first) + 1) * max(1, len(self.ids)))
+        self.data, self.start, self.length, self.hash = words.data, words.start, words.end - words.start, words.hash
+        self.widths = sorted(set(self.width.tolist()))
+        self.shingle = {n: shingles(words, n)[0] for n in self.widths}
+        self.keys = {n: np.unique(self.shingle[n][ranges(self.begin[self.width == n], (self.size - n + 1)[self.width == n])]) for n in self.widths}
         self.tokens: dict[int, tuple] = {}
 
     def shingles_of(self, w: int) -> np.ndarray:
         """The distinct shingles of window w."""
-        i, a = self.item[w], self.at[w]
-        return np.unique(self.shingle[i][a : a + self.item_size[i] - self.item_width[i] + 1])
-
-    def words_of(self, w: int) -> list[bytes]:
-        return self.words[self.item[w]][self.at[w] : self.at[w] + self.size[w]]
+        n, a = int(self.width[w]), int(self.begin[w])
+        return np.unique(self.shingle[n][a : a + int(self.size[w]) - n + 1])
 
     def order(self, frequency: dict[int, np.ndarray]) -> None:
         """Keep each window's prefix: its rarest distinct shingles, and where in it they are."""
         found: dict[int, list] = {n: [] for n in self.widths}
-        rarity = [frequency[n][np.searchsorted(self.keys[n], s)] if len(s) else s for s, n in zip(self.shingle, self.item_width.tolist(), strict=True)]
-        for w, (i, a) in enumerate(zip(self.item.tolist(), self.at.tolist(), strict=True)):
-            n = int(self.item_width[i])
-            here = slice(a, a + int(self.item_size[i]) - n + 1)
-            distinct, first = np.unique(self.shingle[i][here], return_index=True)
+        for w, (a, m, n) in enumerate(zip(self.begin.tolist(), self.size.tolist(), self.width.tolist(), strict=True)):
+            distinct, first = np.unique(self.shingle[n][a : a + m - n + 1], return_index=True)
             most = len(distinct) - math.ceil(self.containment * len(distinct) - 1e-9) + 1
-            for j in np.lexsort((distinct, rarity[i][here][first]))[: min(most, len(distinct))]:
+            rarity = frequency[n][np.searchsorted(self.keys[n], distinct)]
+            for j in np.lexsort((distinct, rarity))[: min(most, len(distinct))]:
                 found[n].append((int(distinct[j]), w, int(first[j])))
         for n, rows in found.items():
             rows.sort()
             key = np.array([r[0] for r in rows], np.uint64)
             token, first = np.unique(key, return_index=True)
             self.tokens[n] = (token, np.append(first, len(rows)), np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64))
-        self.shingle, self.keys = ([] if self.containment >= 1 else self.shingle), {}
+        self.shingle, self.keys = ({} if self.containment >= 1 else self.shingle), {}
+
+    def same_words(self, words: Words, start: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Whether window w stands at the document's word `start`: equal hashes first, then equal bytes."""
+        out = np.zeros(len(start), bool)
+        for a in range(0, len(start), CONFIRM):
+            s, x = start[a : a + CONFIRM], w[a : a + CONFIRM]
+            here, there, size = ranges(s, self.size[x]), ranges(self.begin[x], self.size[x]), self.size[x]
+            length = self.length[there]
+            equal = (words.hash[here] == self.hash[there]) & (words.end[here] - words.start[here] == length)
+            good = np.logical_and.reduceat(equal, np.append(0, np.cumsum(size)[:-1]))
+            each = np.flatnonzero(np.repeat(good, size))
+            length = length[each]
+            bytes_ = words.data[ranges(words.start[here[each]], length)] == self.data[ranges(self.start[there[each]], length)]
+            if not bytes_.all():
+                wrong = each[np.searchsorted(np.cumsum(length), np.flatnonzero(~bytes_), "right")]
+                good[np.searchsorted(np.cumsum(size), wrong, "right")] = False
+            out[a : a + CONFIRM] = good
+        return out
 
 
 def _among(h: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -124,9 +146,9 @@ def _count(index: Index, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), n), pa.int32()), pa.array(at, pa.int64()), pa.array(total[n][at], pa.int64())], ["width", "key", "n"])
 
 
-def _windows(index: Index, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Confirmed (first word, number of words, item) of all occurrences of windows."""
-    out: list[tuple[int, int, int]] = []
+def _windows(index: Index, words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Confirmed (first word, window) of all occurrences of windows, each once."""
+    starts, windows = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     document = words.document()
     for n in index.widths:
         h, whole = shingles(words, n)
@@ -136,7 +158,7 @@ def _windows(index: Index, words: Words) -> tuple[np.ndarray, np.ndarray, np.nda
         if not len(at):
             continue
         many = first[key + 1] - first[key]
-        row = np.repeat(first[key] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        row = ranges(first[key], many)
         at, w, off = np.repeat(at, many), window[row], offset[row]
         low, high = words.first[document[at]], words.first[document[at] + 1]
         size = index.size[w]
@@ -144,17 +166,16 @@ def _windows(index: Index, words: Words) -> tuple[np.ndarray, np.ndarray, np.nda
             start = at - off
             fits = (start >= low) & (start + size <= high)
             start, w = start[fits], w[fits]
-            for s, x, m in zip(start.tolist(), w.tolist(), size[fits].tolist(), strict=True):
-                if words.text(s, s + m) == index.words_of(x):
-                    out.append((s, m, int(index.item[x])))
+            same = index.same_words(words, start, w)
+            starts.append(start[same])
+            windows.append(w[same])
         else:
-            for p, x, m, lo, hi in zip(at.tolist(), w.tolist(), size.tolist(), low.tolist(), high.tolist(), strict=True):
-                distinct = index.shingles_of(x)
-                for s in range(max(lo, p - m + n), min(p, hi - m) + 1):
-                    if np.isin(distinct, h[s : s + m - n + 1]).sum() >= index.containment * len(distinct) - 1e-9:
-                        out.append((s, m, int(index.item[x])))
-    found = np.array(sorted(set(out)), np.int64).reshape(-1, 3)
-    return found[:, 0], found[:, 1], found[:, 2]
+            tried = {(s, x): m for p, x, m, lo, hi in zip(at.tolist(), w.tolist(), size.tolist(), low.tolist(), high.tolist(), strict=True) for s in range(max(lo, p - m + n), min(p, hi - m) + 1)}
+            distinct = {x: index.shingles_of(x) for _, x in tried}
+            hit = [(s, x) for (s, x), m in tried.items() if np.isin(distinct[x], h[s : s + m - n + 1]).sum() >= index.containment * len(distinct[x]) - 1e-9]
+            starts.append(np.array([s for s, _ in hit], np.int64))
+            windows.append(np.array([x for _, x in hit], np.int64))
+    return np.concatenate(starts), np.concatenate(windows)
 
 
 def _lists(values: np.ndarray, of: np.ndarray, n: int, kind: pa.DataType) -> pa.Array:
@@ -166,16 +187,19 @@ def find(index: Index, column: pa.Array) -> pa.Array:
     hit words as [first, end)."""
     data, offsets = utf8(column)
     steps, parts = Powers(), []
-    ids, which = np.unique(np.array(index.ids, np.int64), return_inverse=True)  # rows of one item id count once
+    ids, most = index.ids, np.int64(max(1, len(index.size)))
     for a, b in groups(offsets, CHUNK):
         words = Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], ALNUM, steps)
         n, document, m = b - a, words.document(), len(words.start)
-        start, size, item = _windows(index, words)
+        start, window = _windows(index, words)
+        size = index.size[window]
         cover = np.zeros(m + 1, np.int64)
         np.add.at(cover, start, 1)
         np.add.at(cover, start + size, -1)
         hit = np.cumsum(cover)[:m] > 0
-        pairs = np.unique(document[start] * len(ids) + which[item]) if len(start) else np.empty(0, np.int64)
+        held = np.unique(document[start] * most + window) if len(start) else np.empty(0, np.int64)  # windows of each document
+        many = (index.of[1:] - index.of[:-1])[held % most]
+        pairs = np.unique(np.repeat(held // most, many) * len(ids) + index.items[ranges(index.of[held % most], many)])
         edge = np.ones(m, bool)
         edge[words.first[:-1][words.first[:-1] < m]] = False  # a run ends with its document
         begins = hit & ~(np.append(False, hit[:-1]) & edge)
