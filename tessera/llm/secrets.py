@@ -14,6 +14,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import below, let, running
+
 #: The kinds of span and their patterns.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{14,}"
@@ -30,21 +32,18 @@ def spans(text: Column, pattern: str, kind: int, value: int = 0, least: int = 1)
     """The leftmost non-overlapping matches of `pattern`, none of them empty, as spans in code
     points; those whose group `value` is shorter than `least` are dropped.
 
-    Positions come from the lengths of the matches and of the pieces that split() leaves between them.
+    Positions are running sums of the lengths of the matches and of the pieces that split() leaves between them.
     """
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     found = F.arrays_zip(whole.alias("m"), F.split(text, pattern).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(value)).alias("v"))
-    empty = F.array().cast(SPAN)
+    found = F.filter(found, lambda x: x["m"].isNotNull())  # split() leaves one piece more
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.char_length(x["gap"])
-        end = start + F.char_length(x["m"])
-        one = F.array(F.struct(start.alias("start"), end.alias("end"), F.lit(kind).alias("kind"), x["v"].alias("value")))
-        return F.struct(end.alias("at"), F.when(F.char_length(x["v"]) >= least, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
+    def placed(f: Column) -> Column:
+        ends = running(F.transform(f, lambda x: F.char_length(x["gap"]) + F.char_length(x["m"])))
+        one = lambda x, end: F.struct((end - F.char_length(x["m"])).alias("start"), end.alias("end"), F.lit(kind).alias("kind"), x["v"].alias("value"))
+        return F.filter(F.zip_with(f, ends, one), lambda x: F.char_length(x["value"]) >= least)
 
-    found = F.filter(found, lambda x: x["m"].isNotNull())  # split() leaves one piece more
-    walked = F.aggregate(found, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), walked).otherwise(empty)
+    return F.when(text.rlike(pattern), let(found, placed)).otherwise(F.array().cast(SPAN))
 
 
 def base_spans(text: Column) -> Column:
@@ -52,10 +51,15 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(spans(text, ASSIGN, 0, 2, 12), spans(text, ACCESS, 1), spans(text, HEX, 2)))
 
 
+def _transitions(value: Column) -> Column:
+    """Each character and the next one, as 128 times the first's code and the second's."""
+    pairs = F.regexp_extract_all(value, F.lit("(?s)(?=(..))"), F.lit(1))
+    return F.transform(pairs, lambda p: F.ascii(p) * 128 + F.ascii(F.substring(p, 2, 1)))
+
+
 def _ratio(table: Column, value: Column) -> Column:
     """The sum of the table's ratios over the value's transitions."""
-    code = lambda i: F.ascii(F.substring(value, i, 1))
-    return F.aggregate(F.sequence(F.lit(2), F.char_length(value)), F.lit(0.0), lambda acc, i: acc + F.get(table, code(i - 1) * 128 + code(i)))
+    return F.aggregate(_transitions(value), F.lit(0.0), lambda acc, p: acc + F.get(table, p))
 
 
 def samples(docs: DataFrame, *, text: str = "text", made: int = 4096) -> DataFrame:
@@ -90,8 +94,7 @@ def train(labelled: DataFrame, smooth: float = 0.5, back: float = 4.0) -> list[f
     label, n). Each model's transitions count `back` more, shared as its characters are, and
     each character `smooth` more."""
     value = F.regexp_replace("value", r"[^A-Za-z0-9+/_=-]", "")
-    pairs = F.transform(F.sequence(F.lit(1), F.char_length("v") - 1), lambda i: F.ascii(F.substring("v", i, 1)) * 128 + F.ascii(F.substring("v", i + 1, 1)))
-    counts = labelled.select(value.alias("v"), "label", "n").where("char_length(v) > 1").select("label", "n", F.explode(pairs).alias("p")).groupBy("label", "p").agg(F.sum("n").alias("n"))
+    counts = labelled.select(value.alias("v"), "label", "n").where("char_length(v) > 1").select("label", "n", F.explode(_transitions(F.col("v"))).alias("p")).groupBy("label", "p").agg(F.sum("n").alias("n"))
     alphabet = [c for c in range(128) if chr(c).isalnum() or chr(c) in "+/_=-"]
     model = {y: [0.0] * (128 * 128) for y in (0, 1)}
     for r in counts.collect():  # 2 * 67 * 67 rows at most
@@ -113,15 +116,20 @@ def scan(docs: DataFrame, ratios: list[float], *, text: str = "text", into: str
     """`docs` with all spans of each text, by start and then kind (an index of KINDS).
 
     A candidate is added if its ratios sum to `threshold` nats or more and no base span
-    overlaps it. Defined cases: null and empty texts have no spans; other columns stay, one
-    named like `into` is replaced.
+    overlaps it. All steps take time in proportion to the text, but for a factor of the
+    logarithm of its number of spans. Defined cases: null and empty texts have no spans; other
+    columns stay, one named like `into` is replaced.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     table = F.split(F.lit(",".join(map(str, ratios))), ",").cast("array<double>")
-    df = docs.withColumn("__base", base_spans(whole)).withColumn("__key", spans(whole, KEY, 3))
-    free = lambda x: ~F.exists("__base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-    added = F.filter("__key", lambda x: free(x) & (_ratio(table, x["value"]) >= threshold))
-    return df.withColumn(into, F.array_sort(F.concat("__base", added))).drop("__base", "__key")
+
+    def added(x: Column) -> Column:
+        """x: the base spans, and their starts and ends, each ascending. As many spans end before a free place as begin before its end."""
+        free = lambda k: below(x["starts"], k["end"]) == below(x["ends"], k["start"], equal=True)
+        return F.array_sort(F.concat(x["base"], F.filter(spans(whole, KEY, 3), lambda k: free(k) & (_ratio(table, k["value"]) >= threshold))))
+
+    edges = lambda base: F.struct(base.alias("base"), F.transform(base, lambda b: b["start"]).alias("starts"), F.array_sort(F.transform(base, lambda b: b["end"])).alias("ends"))
+    return docs.withColumn(into, let(let(base_spans(whole), edges), added))
 
 
 def written(spans_: Column) -> Column:
