@@ -2,9 +2,10 @@
 
 import random
 
+import numpy as np
 import pytest
 
-from tessera.llm.licenses import _CUE, _WORD, TEMPLATES, Scanner, Settings
+from tessera.llm.licenses import _CUE, _WORD, TEMPLATES, Scanner, Settings, scan
 
 S = Scanner(TEMPLATES, Settings())
 
@@ -78,3 +79,33 @@ def test_against_all_stretches_of_words():
         assert [(x["start"], x["end"], len(x["differences"])) for x in got] == sorted(want), line
         n_differing += sum(d for _, _, d in want)
     assert n_differing
+
+
+def test_winners_have_the_places():
+    """The places of the blocks' winners are those of all templates everywhere."""
+    rng = random.Random(9)
+    for _ in range(40):
+        words = ["prose"] * rng.randrange(60)
+        for i in rng.choices(range(len(S.templates)), k=4):
+            w = list(S.templates[i][2])
+            for _ in range(rng.randrange(1 + len(w) // 10)):
+                at = rng.randrange(len(w))
+                w[at : at + rng.randrange(2)] = rng.choice([[], ["other"], [rng.choice(w)]])
+            words += w + ["".join(rng.choice("aeinorst") for _ in range(6)) for _ in range(rng.randrange(90))]
+        ids = np.array([S.numbers.get(w, 0) for w in words])
+        every = {(d, a, b, i) for i in range(len(S.templates)) for d, a, b in S.places(ids, i)}
+        assert S.found(words, ids) == every and every
+        won = {i: [(a, b) for a, b, j in S.winners(words) if j == i] for *_, i in every}
+        assert all(any(a <= s and e <= b for a, b in won[i]) for _, s, e, i in every)
+
+
+def test_rows_with_notices(spark):
+    mit, cc = "Released under the MIT License.", "Licensed under CC BY 4.0."
+    rows = [(1, f"x {mit} {cc}", "clash"), (1, f"x {mit} {cc}", "clash"), (2, None, None), (3, "", "a"), (None, cc, None), (4, f"é\n\n{mit}\n\n{mit}" + " prose" * 20_000, "b"), (5, f"{mit}" * 3, "c")]
+    got = scan(spark.createDataFrame(rows, "doc_id long, text string, licenses string").repartition(3)).collect()
+    names = sorted((r.doc_id or 0, [x.license for x in r.licenses]) for r in got)
+    assert names == [(0, ["CC-BY-4.0"]), (1, ["MIT", "CC-BY-4.0"]), (1, ["MIT", "CC-BY-4.0"]), (2, []), (3, []), (4, ["MIT", "MIT"]), (5, ["MIT"] * 3)]
+    text = {r[0]: r[1] for r in rows}
+    assert all(text[r.doc_id][x.start : x.end].startswith(("Released", "Licensed")) and x.reduction > 0.2 for r in got for x in r.licenses)
+    twice = scan(spark.createDataFrame(rows, "doc_id long, text string, licenses string"), templates=[("A", mit), ("B", mit)])  # a tie goes to the first
+    assert {x.license for r in twice.collect() for x in r.licenses} == {"A"}
