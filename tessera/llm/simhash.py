@@ -119,29 +119,29 @@ def _compare(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Reco
             yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
 
 
-def links(unique: DataFrame, radius: int = 4, tile: int = 1 << 15, tiles: int = 2048) -> DataFrame:
+def links(unique: DataFrame, radius: int = 4, tile: int = 1 << 15, tiles: int = 2048, tasks: int = 1 << 17) -> DataFrame:
     """Links (u, v) whose classes are those of all pairs of `unique` fingerprints (column fp, each once) within the radius.
 
-    A tile has `tile` fingerprints, or as many as make about `tiles` tiles; the list of tile
-    pairs, of tiles**2 rows at most, is all that is broadcast.
+    A tile has `tile` fingerprints, or as many as make about `tiles` tiles; the pairs of tiles
+    are a join of the table of tiles with itself by band, and each is a task's row, in `tasks` tasks at most.
     """
     spark = unique.sparkSession
     band = F.floor(F.bit_count("fp") / (radius + 1)).cast("int")
     count = {r.band: r.n for r in unique.groupBy(band.alias("band")).agg(F.count("*").alias("n")).collect()}  # 65 rows at most
     size = max(tile, sum(count.values()) // tiles)
-    slices = {b: -(-n // size) for b, n in count.items()}
+    slices = [(b, -(-n // size)) for b, n in sorted(count.items())]
     if not slices:
         return spark.createDataFrame([], "u long, v long")
-    ids = {(b, s): i for i, (b, s) in enumerate((b, s) for b in sorted(slices) for s in range(slices[b]))}
-    pairs = [(i, j) for (b, _), i in ids.items() for (c, _), j in ids.items() if (b == c and i <= j) or c == b + 1]
-    many, first = F.lit(0), F.lit(0)
-    for b in slices:
-        many = F.when(band == b, F.lit(slices[b])).otherwise(many)
-        first = F.when(band == b, F.lit(ids[b, 0])).otherwise(first)
-    packed = saved(unique.select((first + F.pmod(F.xxhash64("fp"), many)).cast("int").alias("tile"), "fp").groupBy("tile").agg(F.collect_list("fp").alias("fps")), "simhash-tiles")
-    listed = spark.createDataFrame(pairs, "a int, b int")
-    left, right = packed.toDF("a", "left"), packed.toDF("b", "right")
-    rows = listed.join(left, "a").join(right, "b").repartition(min(len(pairs), 4096), "a", "b")
+    many, first, before = F.lit(0), F.lit(0), 0
+    for b, n in slices:
+        many, first, before = F.when(band == b, n).otherwise(many), F.when(band == b, before).otherwise(first), before + n
+    packed = saved(unique.select(band.alias("band"), (first + F.pmod(F.xxhash64("fp"), many)).cast("int").alias("tile"), "fp").groupBy("band", "tile").agg(F.collect_list("fp").alias("fps")), "simhash-tiles")
+    listed = packed.select("band", F.col("tile").alias("a"))
+    near = listed.withColumn("other", F.explode(F.array("band", F.col("band") + 1))).select("a", "other")
+    pairs = near.join(listed.select(F.col("band").alias("other"), F.col("a").alias("b")), "other").where("a <= b").select("a", "b")
+    left, right = packed.select(F.col("tile").alias("a"), F.col("fps").alias("left")), packed.select(F.col("tile").alias("b"), F.col("fps").alias("right"))
+    n = dict(slices)
+    rows = pairs.join(left, "a").join(right, "b").repartition(min(sum(m * (m + 1) // 2 + m * n.get(b + 1, 0) for b, m in slices), tasks), "a", "b")
     rows = rows.select("left", F.when(F.col("a") != F.col("b"), F.col("right")).alias("right"))
     return rows.mapInArrow(lambda batches: _compare(batches, radius), "u long, v long")
 
@@ -182,7 +182,7 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: i
     fingerprint, null only where all members' ids are null; other columns aren't returned.
     """
     rows = saved(fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("t")), "t", "fp", k).select("doc_id", "fp"), "simhash")
-    unique = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-unique")
+    unique = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "simhash-unique")
     root = components(links(unique.select("fp"), radius), "simhash-components")
     # Only linked fingerprints take part in the next steps; the others are their own component.
     member = unique.join(root.select(F.col("v").alias("fp"), "root"), "fp").unionByName(
@@ -190,8 +190,19 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: i
     )
     least = member.groupBy("root").agg(F.min("least").alias("component_id"))
     linked = member.select("fp", "root").join(least, "root").select("fp", "component_id")
-    named = unique.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return rows.join(named, "fp", "left").select("doc_id", F.col("fp").alias("fingerprint"), "component_id")
+    named = saved(unique.join(linked, "fp", "left").select("fp", "n", F.coalesce("component_id", "least").alias("component_id")), "simhash-named")
+    return _joined(rows, named).select("doc_id", F.col("fp").alias("fingerprint"), "component_id")
+
+
+def _joined(rows: DataFrame, named: DataFrame, share: int = 1024) -> DataFrame:
+    """Each row with its fingerprint's component. Fingerprints with one of `share` of all rows or
+    more, of which there are no more than `share`, are broadcast; none of the others is a hot key."""
+    total = named.agg(F.sum("n")).first()[0] or 0
+    hot = F.col("n") * share >= total
+    many = F.broadcast(named.where(hot).select("fp", "component_id", F.lit(True).alias("many")))
+    marked = rows.join(many, "fp", "left")
+    rest = marked.where("many is null").select(*rows.columns).join(named.where(~hot).select("fp", "component_id"), "fp")
+    return marked.where("many").select(*rows.columns, "component_id").unionByName(rest.select(*rows.columns, "component_id"))
 
 
 def keep_one(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id") -> DataFrame:

@@ -4,7 +4,7 @@ import re
 import numpy as np
 import xxhash
 
-from tessera.llm.simhash import classes, components, fingerprint, keep_one, links, stars
+from tessera.llm.simhash import _joined, classes, components, fingerprint, keep_one, links, stars
 
 
 def brute_fingerprint(text):
@@ -87,3 +87,15 @@ def test_classes(spark, messy, messy_rows, none):
     assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted(set(least.values()))
     assert kept[0].asDict().keys() == set(messy.columns)
     assert classes(none).count() == 0
+
+
+def test_hot_fingerprints(spark):
+    rows = [(i, "one two three four five" if i % 3 else f"a{i} b{i} c{i} d{i} e{i}") for i in range(300)] + [(None, "one two three four five"), (None, None)]
+    got = classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    want = classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 302
+    named = spark.createDataFrame([(1, 200, 7), (2, 1, 8), (3, 99, None)], "fp long, n long, component_id long")
+    copies = spark.createDataFrame([(i, 1) for i in range(200)] + [(300, 2)] + [(400 + i, 3) for i in range(99)], "doc_id long, fp long")
+    for share in (1, 2, 5, 1000):
+        out = _joined(copies, named, share).collect()
+        assert sorted((r.doc_id, r.component_id) for r in out) == sorted((r.doc_id, {1: 7, 2: 8, 3: None}[r.fp]) for r in copies.collect())
