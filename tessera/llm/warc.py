@@ -20,9 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import files
-from .common import scratch_path, utf8
+from .common import saved, scratch_path, utf8
 
 CHUNK = 1 << 20
+BROADCAST = 1 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -30,15 +31,18 @@ def planned(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", htm
     """(page_id, url, html, bytes, sha1, refers_to): refers_to is the largest page_id with an
     equal payload, null for that record itself and for payloads of fewer than `least` bytes.
 
-    Digests are grouped without payloads, with partial aggregation; only the rows that revisit
-    another are joined back, which Spark splits where one payload has very many rows.
+    Digests are grouped without payloads, with partial aggregation; only the ids that revisit
+    another are joined back. Up to `BROADCAST` of them (some 64 bytes each) are broadcast, so
+    that no payload moves; more are joined by page_id.
     """
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"))
     rows = rows.select("*", F.octet_length("html").cast("long").alias("bytes"), F.sha1(F.col("html").cast("binary")).alias("sha1"))
-    keys = rows.where(F.col("bytes") >= least).select("page_id", "bytes", "sha1")
+    keys = saved(rows.where(F.col("bytes") >= least).select("page_id", "bytes", "sha1"), "warc-keys")
     kept = keys.groupBy("sha1", "bytes").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1 and refers_to is not null").drop("n")
     revisits = keys.join(kept, ["sha1", "bytes"]).where("not page_id <=> refers_to").distinct()
-    revisits = revisits.select(F.col("page_id").alias("i"), F.col("sha1").alias("s"), "refers_to")
+    revisits = saved(revisits.select(F.col("page_id").alias("i"), F.col("sha1").alias("s"), "refers_to"), "warc-revisits")
+    if revisits.limit(BROADCAST + 1).count() <= BROADCAST:
+        revisits = F.broadcast(revisits)
     return rows.join(revisits, F.col("page_id").eqNullSafe(F.col("i")) & (F.col("sha1") == F.col("s")), "left").drop("i", "s")
 
 
@@ -182,51 +186,49 @@ def _paths(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths)))
 
 
-def chunk_table(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(page_id, chunk, data, bytes, payload_digest): a row for each chunk of each payload, with
-    the payload's size and digest up to the end of that chunk."""
+CHUNKS = "record long, chunk long, last boolean, page_id long, record_type string, refers_to long, payload_bytes long, header_digest string, bytes long, payload_digest string"
 
-    def loaded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path in batch.column(0).to_pylist():
-                for c in _opened(path):
-                    yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((_page(c.fields["warc-record-id"]), pa.int64()), (c.number, pa.int64()), (c.data, pa.binary()), (c.size, pa.int64()), (_digest(c.sha1), pa.string()))], ["page_id", "chunk", "data", "bytes", "payload_digest"])
 
-    return _paths(spark, paths).mapInArrow(loaded, "page_id long, chunk long, data binary, bytes long, payload_digest string")
+def _row(record: int, c: Chunk) -> tuple:
+    return (record, c.number, c.last, _page(c.fields["warc-record-id"]), c.fields["warc-type"], _page(c.fields.get("warc-refers-to", "")), int(c.http["content-length"]), c.fields["warc-payload-digest"].removeprefix("sha1:"), c.size, _digest(c.sha1))
 
 
-RECORD = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+def chunk_table(spark: SparkSession, paths: list[str], *, data: bool = True, path: str = "path") -> DataFrame:
+    """A row for each chunk of each record: file, number of the record in it and of the chunk in
+    the record, whether that is its last; what the headers say (page_id, record_type, refers_to,
+    payload_bytes, header_digest); and of the payload up to the chunk's end its size and digest.
+    With `data` also the chunk's bytes. No task holds more of a record than one chunk."""
+    kinds = [*(pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string()), *([pa.binary()] if data else [])]
+    names = [x.split()[0] for x in CHUNKS.split(", ")] + ["data"] * data
 
+    def batch_of(file: str, rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
+        return pa.RecordBatch.from_arrays([pa.array([file] * len(rows), pa.string()), *(pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True))], [path, *names])
 
-def _record(last: Chunk) -> tuple:
-    """What a record's last chunk says of it; a response's payload must have the digest of its header."""
-    digest, kind = last.fields["warc-payload-digest"].removeprefix("sha1:"), last.fields["warc-type"]
-    if kind == "response" and (digest != _digest(last.sha1) or last.size != int(last.http["content-length"])):
-        raise ValueError(f"damaged payload in {last.fields['warc-record-id']}")
-    return _page(last.fields["warc-record-id"]), int(last.http["content-length"]), digest, kind, _page(last.fields.get("warc-refers-to", ""))
+    def loaded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file in batch.column(0).to_pylist():
+                rows, size, record = [], 0, 0
+                for c in _opened(file):
+                    rows.append((*_row(record, c), *([c.data] if data else [])))
+                    size, record = size + len(c.data), record + c.last
+                    if size >= CHUNK and data or len(rows) == 10_000:
+                        yield batch_of(file, rows)
+                        rows, size = [], 0
+                yield batch_of(file, rows)
 
+    return _paths(spark, paths).mapInArrow(loaded, f"`{path}` string, {CHUNKS}" + ", data binary" * data)
 
-def record_table(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """A row for each record, without payloads."""
 
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*rows, strict=True)) or [[]] * len(RECORD)
-        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], RECORD)
-
-    def loaded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path in batch.column(0).to_pylist():
-                rows = []
-                for c in _opened(path):
-                    if c.last:
-                        rows.append(_record(c))
-                    if len(rows) == 10_000:
-                        yield batch_of(rows)
-                        rows = []
-                yield batch_of(rows)
-
-    return _paths(spark, paths).mapInArrow(loaded, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+def record_table(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """A row for each record, put together from its chunks: the last one's size and digest are
+    the payload's. A response whose payload isn't what its headers say fails the query."""
+    rows = chunk_table(spark, paths, data=False)
+    # A record's chunks lie one after another in one file, so the last chunk sums them all up and nothing is shuffled.
+    last = rows.where("last")
+    sound = (F.col("record_type") != "response") | (F.col("bytes") == F.col("payload_bytes")) & (F.col("payload_digest") == F.col("header_digest"))
+    damaged = F.raise_error(F.concat(F.lit("damaged payload in record "), F.col("record").cast("string"), F.lit(" of "), F.col("path")))
+    return last.select("page_id", F.when(sound, F.col("payload_bytes")).otherwise(damaged.cast("long")).alias("payload_bytes"), F.col("header_digest").alias("payload_digest"), "record_type", "refers_to")
 
 
 def round_trip(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = 0) -> DataFrame:

@@ -38,6 +38,9 @@ def test_smaller_payloads_are_all_responses(pages):
 def test_chunks(spark, pages):
     paths = warc.write(warc.planned(pages), scratch_path(spark, "warc"))
     rows = warc.chunk_table(spark, paths).where("page_id = 5").orderBy("chunk").collect()
+    assert [r.last for r in rows] == [False, False, False, True] and {r.payload_bytes for r in rows} == {4_000_000}
+    bare = warc.chunk_table(spark, paths, data=False)
+    assert "data" not in bare.columns and bare.count() == warc.record_table(spark, paths).count() + 3
     whole = ("é" * 2_000_000).encode()
     assert [r.chunk for r in rows] == [0, 1, 2, 3] and b"".join(bytes(r.data) for r in rows) == whole
     for r in rows:
@@ -52,8 +55,22 @@ def test_a_damaged_archive_is_refused():
     plain = zlib.decompress(raw, 31)
     with pytest.raises(ValueError, match="ends within"):
         list(warc.chunks(iter([plain[:-30]])))
-    with pytest.raises(ValueError, match="damaged"):
-        warc._record(list(warc.chunks(iter([plain.replace(b"xxx", b"xyx")])))[-1])
+
+
+def test_a_damaged_payload_is_refused(spark, tmp_path):
+    for name, payload in (("good", b"x" * 3_000_000), ("bad", b"y" + b"x" * 2_999_999)):
+        with open(f"{tmp_path}/{name}", "wb") as out:
+            warc.add(out, 1, "u", memoryview(payload), hashlib.sha1(b"x" * 3_000_000).hexdigest(), None)
+    good = warc.record_table(spark, [f"{tmp_path}/good"]).collect()
+    assert [(r.payload_bytes, r.payload_digest) for r in good] == [(3_000_000, digest("x" * 3_000_000))]
+    with pytest.raises(Exception, match="damaged payload in record 0"):
+        warc.record_table(spark, [f"{tmp_path}/bad"]).collect()
+
+
+def test_the_other_way_to_join_revisits(pages, monkeypatch):
+    want = sorted(map(str, warc.round_trip(pages).collect()))
+    monkeypatch.setattr(warc, "BROADCAST", 0)
+    assert sorted(map(str, warc.round_trip(pages).collect())) == want
 
 
 def test_empty(pages):
