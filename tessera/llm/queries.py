@@ -42,10 +42,9 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sketches import edited, in_hex, resemblance, with_next, with_sketch
 
-    docs = with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = with_next(table(spark, sf_dir, "documents").select("doc_id", "text"), sketch=True)
     docs = docs.withColumn("edited", edited(F.col("text"), F.col("next_text")))
-    for column in ("text", "edited", "next_text"):
-        docs = with_sketch(docs, F.col(column), f"{column}_sketch")
+    docs = with_sketch(docs, F.col("edited"), "edited_sketch")
     return docs.select(
         "doc_id",
         F.char_length("text").cast("long").alias("n_chars"),
@@ -53,7 +52,7 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         in_hex(F.col("text_sketch")).alias("fingerprint"),
         in_hex(F.col("edited_sketch")).alias("edited_fingerprint"),
         resemblance(F.col("text_sketch"), F.col("edited_sketch")).alias("near_edited"),
-        resemblance(F.col("text_sketch"), F.col("next_text_sketch")).alias("near_next"),
+        resemblance(F.col("text_sketch"), F.col("next_sketch")).alias("near_next"),
     )
 
 

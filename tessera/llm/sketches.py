@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import unused
+
 K, SHINGLE = 128, 5
 
 
@@ -18,11 +20,12 @@ def with_sketch(df: DataFrame, text: Column, into: str, k: int = K, shingle: int
     """`df` with the sketch of `text`: lower-cased words between runs of 09-0D and 20, in
     shingles of `shingle`; fewer words are one shingle, none give an empty sketch."""
     words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    df = df.withColumn("__w", F.transform(words, lambda w: F.xxhash64(w)))
-    w = F.col("__w")
+    hashes, made = unused(df, "__w", "__s")
+    df = df.withColumn(hashes, F.transform(words, lambda w: F.xxhash64(w)))
+    w = F.col(hashes)
     many = F.transform(F.slice(w, 1, F.greatest(F.size(w) - (shingle - 1), F.lit(0))), lambda x, i: F.xxhash64(x, *(F.get(w, i + j) for j in range(1, shingle))))
-    df = df.withColumn("__s", F.when(F.size(w) >= shingle, many).when(F.size(w) > 0, F.array(F.xxhash64(w))).otherwise(F.array().cast("array<bigint>")))
-    return df.withColumn(into, F.slice(F.sort_array(F.array_distinct("__s")), 1, k)).drop("__w", "__s")
+    df = df.withColumn(made, F.when(F.size(w) >= shingle, many).when(F.size(w) > 0, F.array(F.xxhash64(w))).otherwise(F.array().cast("array<bigint>")))
+    return df.withColumn(into, F.slice(F.sort_array(F.array_distinct(made)), 1, k)).drop(hashes, made)
 
 
 def resemblance(a: Column, b: Column, k: int = K) -> Column:
@@ -57,9 +60,10 @@ def in_hex(sketch: Column) -> Column:
     return F.array_join(F.transform(sketch, lambda h: F.lower(F.lpad(F.hex(h), 16, "0"))), "")
 
 
-def with_next(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def with_next(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", sketch: bool = False) -> DataFrame:
     """(doc_id, text, next_text): null texts are empty; next is the next smaller doc_id, and
     for the smallest the largest. Null ids are smaller than all, equal ones go by their texts' hashes.
+    With `sketch` also text_sketch and next_sketch, for which each text is sketched once.
 
     Documents are dealt to buckets of neighbouring ids, by quantiles, and ordered there. The
     first of each bucket also goes, as a guest, to the end of the one before. Whole texts
@@ -87,7 +91,11 @@ def with_next(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
     spread = dealt(rows).join(guests, F.col("i") == F.col("g"), "left").withColumn("at", F.explode(places))
     spread = spread.select("doc_id", "text", "i", F.col("at.bucket").alias("bucket"), F.col("at.guest").alias("guest"))
     order = Window.partitionBy("bucket").orderBy("guest", F.desc("i"), F.xxhash64("text"))
-    return spread.withColumn("next_text", F.lead("text").over(order)).where("guest = 0").select("doc_id", "text", "next_text")
+    if not sketch:
+        return spread.withColumn("next_text", F.lead("text").over(order)).where("guest = 0").select("doc_id", "text", "next_text")
+    made = with_sketch(spread.repartition("bucket"), F.col("text"), "text_sketch")  # after texts have moved, so sketches don't
+    placed = made.withColumns({"next_text": F.lead("text").over(order), "next_sketch": F.lead("text_sketch").over(order)})
+    return placed.where("guest = 0").select("doc_id", "text", "next_text", "text_sketch", "next_sketch")
 
 
 def edited(text: Column, following: Column) -> Column:
