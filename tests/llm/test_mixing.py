@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -24,12 +25,29 @@ def targets(sizes):
     return t
 
 
-def test_shares():
-    for sizes in ({"a": 100, "b": 5, "c": 900}, {"a": 1, "b": 1, "c": 1000, None: 3}, {"x": 0, None: 10}, {"a": 0}, {}, {"é": 7, "z": 7, "Z": 7, "a": 70}):
-        got = {x.source: x for x in shares(list(sizes.items()), block=8)}
+def test_shares(spark):
+    rng = random.Random(3)
+    many = {f"host{i}": rng.choice([0, 1, 5, 100, 10_000]) for i in range(400)}
+    for sizes in ({"a": 100, "b": 5, "c": 900}, {"a": 1, "b": 1, "c": 1000, None: 3}, {"x": 0, None: 10}, {"a": 0}, {}, {"é": 7, "z": 7, "Z": 7, "a": 70}, many):
+        frame = spark.createDataFrame(list(sizes.items()), "source string, n long").repartition(3)
+        got = {r.source: r for r in shares(frame, block=8).collect()}
         want = targets(sizes)
-        assert all(abs(got[s].target - want[s]) < 1e-6 for s in sizes), sizes
-        assert all(abs(x.take - x.target) <= 0.5 and x.take <= 3 * x.size for x in got.values())
+        assert sorted(got, key=lambda x: got[x].s) == sorted(sizes, key=lambda x: (x is None, x or "")) and sorted(r.s for r in got.values()) == list(range(len(sizes)))
+        assert all(abs(got[s].target - want[s]) < 1e-6 * max(1, want[s]) for s in sizes), sizes
+        first = 0
+        for r in sorted(got.values(), key=lambda r: r.s):
+            n = r.source_size
+            assert n == sizes[r.source] and abs(r.take - r.target) <= 0.5 and r.take <= 3 * n and r["first"] == first
+            assert (r.blocks, r.slots) == (-(-n // 8), r.take // n * -(-n // 8) + -(-(r.take % n) // 8) if n else 0)
+            first += r.slots
+
+
+def test_as_many_sources_as_documents(spark):
+    rows = [(i, "w " * (i % 40), f"s{i}") for i in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = {r.doc_id: r for r in mix(df, block=8).documents().collect()}
+    want = targets({r[2]: r[0] % 40 for r in rows})
+    assert all(abs(got[i].taken - want[s]) <= 0.5 and got[i].taken <= 3 * got[i].size for i, _, s in rows)
 
 
 @pytest.mark.parametrize("block", [7, 1024])
@@ -54,7 +72,8 @@ def test_mix(spark, messy, messy_rows, block):
 def test_schedule(spark, messy):
     m = mix(messy, block=16)
     slots = m.schedule().orderBy("position").collect()
-    need = {i: x.slots for i, x in enumerate(m.shares)}
+    given = m.shares.collect()
+    need = {x.s: x.slots for x in given}
     total = sum(need.values())
     assert len(slots) == total
     seen = dict.fromkeys(need, 0)
@@ -63,7 +82,23 @@ def test_schedule(spark, messy):
         seen[r.s] += 1
         assert all(abs(seen[s] - n * need[s] / total) < 6 for s in need)  # the mix is near its targets at any point
     words = {r.s: r.w for r in m.schedule().groupBy("s").agg(F.sum("words").alias("w")).collect()}
-    assert all(words.get(i, 0) == x.take for i, x in enumerate(m.shares))
+    assert all(words.get(x.s, 0) == x.take for x in given)
+
+
+def test_copies_keep_the_targets(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join(["w"] * rng.choice([1, 2, 5, 30, 31, 200])), rng.choice(["a", "b", None, "a"])) for i in range(600)]
+    df = spark.createDataFrame([(*r, 7, "x") for r in rows], "doc_id long, text string, source string, __id int, __times string").repartition(3)
+    got = mixed(df)
+    assert got.columns == df.columns
+    words, taken, most = {}, {}, {}
+    for r in got.collect():
+        words[r.source] = words.get(r.source, 0) + len(r.text.split())
+        most[r.doc_id] = most.get(r.doc_id, 0) + 1
+    for r in mix(df).documents().collect():
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+    assert all(abs(words[s] - n) < 2 * 200 for s, n in taken.items()) and max(most.values()) <= 3
+    assert sorted(map(str, mixed(df.repartition(7)).collect())) == sorted(map(str, got.collect()))
 
 
 def test_rows(spark, messy, none):
