@@ -8,6 +8,8 @@ folded to ASCII and has abbreviations expanded anywhere in the name.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Mapping
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -34,16 +36,30 @@ PREPOSITIONS = "DE|DA|DO|DAS|DOS|E"
 NO_NUMBER = ["S/N", "SN", "S N", "SEM NUMERO", "SEM NÚMERO", "0", "", "N/A", "S"]
 POI_NO_NUMBER = ["S/N", "SN", "S N", "0", ""]
 
-#: Letters whose compatibility decomposition is one ASCII character, and the few with more.
-_PLAIN = {c: d for c in map(chr, range(0x80, 0x250)) if len(d := unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode()) == 1}
-_LONGER = {c: d for c in [*map(chr, range(0x80, 0x250)), "…", "™"] if len(d := unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode()) > 1}
+
+
+@lru_cache(1)
+def _folded() -> tuple[dict[str, str], dict[str, str]]:
+    """Characters whose compatibility decomposition has ASCII characters in it, and those: one, or several."""
+    one, several = {}, {}
+    for c in map(chr, range(0x80, 0x20000)):  # beyond, nothing decomposes to ASCII
+        if unicodedata.decomposition(c) and (d := unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode()):
+            (one if len(d) == 1 else several)[c] = d
+    return one, several
+
+
+def replaced(s: Column, pattern: str, words: Mapping[str, str]) -> Column:
+    """All matches of `pattern`, each replaced by what `words` has for it, in one pass."""
+    found, gaps = F.regexp_extract_all(s, F.lit(pattern), F.lit(0)), F.split(s, pattern)
+    word = lambda k: F.coalesce(F.get(F.lit(list(words.values())), (F.array_position(F.lit(list(words)), k) - 1).cast("int")), F.lit(""))  # noqa: E731  split() leaves one piece more
+    return F.when(s.rlike(pattern), F.array_join(F.zip_with(gaps, found, lambda g, k: F.concat(g, word(k))), "")).otherwise(s)
 
 
 def fold(s: Column) -> Column:
-    """The ASCII part of the compatibility decomposition: é is e, º is o, ½ is 12, ß is nothing."""
-    for c, d in _LONGER.items():
-        s = F.replace(s, F.lit(c), F.lit(d))
-    return F.regexp_replace(F.translate(s, "".join(_PLAIN), "".join(_PLAIN.values())), r"[^\x00-\x7F]", "")
+    """The ASCII part of the compatibility decomposition (NFKD): é is e, º is o, ½ is 12, № is No, ß is nothing."""
+    one, several = _folded()
+    whole = replaced(s, f"[{''.join(several)}]", several)
+    return F.when(s.rlike(r"[^\x00-\x7F]"), F.regexp_replace(F.translate(whole, "".join(one), "".join(one.values())), r"[^\x00-\x7F]", "")).otherwise(s)
 
 
 def digits(s: Column) -> Column:
@@ -112,10 +128,10 @@ def suburb_clean(s: Column) -> Column:
 
 
 def index_street(s: Column) -> Column:
-    out = _strip(F.upper(fold(s)))
-    for short, full in ABBREVIATIONS:
-        out = F.regexp_replace(out, rf"\b{short}\b", full)
-    return F.nullif(_strip(_spaced(F.regexp_replace(out, rf"\b({PREPOSITIONS})\b", ""))), F.lit(""))
+    """Abbreviations are whole words, none of them the expansion of another, so one pass does for all."""
+    words = dict(ABBREVIATIONS) | dict.fromkeys(PREPOSITIONS.split("|"), "")
+    out = replaced(_strip(F.upper(fold(s))), rf"\b(?:{'|'.join(words)})\b", words)
+    return F.nullif(_strip(_spaced(out)), F.lit(""))
 
 
 def _strip(s: Column) -> Column:

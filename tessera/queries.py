@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import cep_key, cep_key_strict, compose_id, fold, haversine_m, index_city, index_number, index_street, jaro_winkler, poi_district, poi_number, poi_street, suburb_clean
-from .functions import text as text_functions
 from .operators import enrich, filters, geocode, match, validate
 from .sinks.files import feature
 
@@ -150,7 +149,7 @@ def anti_remaining(spark, d):
 @query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size = 7)")
 def semi_prefilter(spark, d):
     wanted = t(spark, d, "part").where("p_size = 7").select(F.col("p_partkey").alias("l_partkey"))
-    return filters.relevant(t(spark, d, "lineitem"), F.broadcast(wanted), "l_partkey").select("l_orderkey", "l_linenumber")
+    return filters.relevant(t(spark, d, "lineitem"), enrich.small(wanted), "l_partkey").select("l_orderkey", "l_linenumber")
 
 
 @query("SELECT k, max(src) AS src, count(*) AS n FROM (SELECT c_custkey AS k, 'cache' AS src FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT o_custkey, 'new' FROM orders) GROUP BY k")
@@ -164,67 +163,55 @@ def union_cache(spark, d):
 
 KINDS_OF_STREET = "['R', 'AV', ' tv ', 'ALM', 'PCA', 'EST', 'ROD', 'LG', 'KM']"
 _kind = lambda: F.get(F.expr("array('R', 'AV', ' tv ', 'ALM', 'PCA', 'EST', 'ROD', 'LG', 'KM', null)"), F.pmod("doc_id", F.lit(10)).cast("int"))
-_line = lambda: F.split(F.regexp_replace("text", r"[\r\n]+", " "), r"\.").getItem(0)
-#: The first sentence of each document, with a preposition between its words now and then.
-_SQL_LINE = r"split_part(regexp_replace(text, '[\r\n]+', ' ', 'g'), '.', 1)"
 _text = lambda: F.regexp_replace("text", r"[\r\n]+", " ")
-#: The whole document, which the queries named ..._whole take.
 _SQL_TEXT = r"regexp_replace(text, '[\r\n]+', ' ', 'g')"
+#: Letters and signs beyond Latin, put before each text, and what folding leaves of them.
+ODD, ODD_FOLDED = "Nguyễn Thị Ṩ № 7 ﬁ Ⅷ ㎞ ⑴ ｅ ", "Nguyen Thi S No 7 fi VIII km (1) e "
 
 
 def _sql_fold(s: str) -> str:
-    for c, x in text_functions._LONGER.items():
-        s = f"replace({s}, '{c}', '{x}')"
-    return f"regexp_replace(translate({s}, '{''.join(text_functions._PLAIN)}', '{''.join(text_functions._PLAIN.values())}'), '[^\\x00-\\x7F]', '', 'g')"
+    """By the database's own removal of accents; the signs of other decompositions that the texts have are written out."""
+    signs = {"½": "12", "¼": "14", "¾": "34", "…": "...", "™": "TM", "ª": "a", "º": "o", "¹": "1", "²": "2", "³": "3", "\u00a0": " "}
+    s = f"strip_accents({s})"
+    for sign, plain in signs.items():
+        s = f"replace({s}, '{sign}', '{plain}')"
+    return f"regexp_replace({s}, '[^\\x00-\\x7F]', '', 'g')"
 
 
 _SQL_KIND = f"({KINDS_OF_STREET[:-1]}, NULL])[(doc_id % 10) + 1]"
-_SQL_TYPED = "CASE " + " ".join(f"WHEN upper(trim(k)) IN ({', '.join(repr(s) for s in short)}) THEN '{full}'" for full, short in text_functions.STREET_TYPES.items()) + " ELSE upper(trim(k)) END"
+_SQL_TYPED = """CASE WHEN upper(trim(k)) IN ('R', 'RUA') THEN 'RUA' WHEN upper(trim(k)) IN ('AV', 'AVENIDA') THEN 'AVENIDA' WHEN upper(trim(k)) IN ('TV', 'TRAV', 'TRAVESSA') THEN 'TRAVESSA'
+ WHEN upper(trim(k)) IN ('AL', 'ALM', 'ALAMEDA') THEN 'ALAMEDA' WHEN upper(trim(k)) IN ('PC', 'PCA', 'PRACA') THEN 'PRACA' WHEN upper(trim(k)) IN ('EST', 'ESTRADA') THEN 'ESTRADA'
+ WHEN upper(trim(k)) IN ('ROD', 'RODOVIA') THEN 'RODOVIA' WHEN upper(trim(k)) IN ('LG', 'LARGO') THEN 'LARGO' ELSE upper(trim(k)) END"""
 
 
 @query(rf"""SELECT doc_id, regexp_replace(regexp_replace({_SQL_TYPED} || ' ' || upper(trim(replace(s, ' the ', ' da '))), '\s+(DE|DA|DO|DAS|DOS|E)\s+', ' ', 'g'), '\s+', ' ', 'g') AS street
-FROM (SELECT doc_id, {_SQL_KIND} AS k, {_SQL_LINE} AS s FROM documents)""")
+FROM (SELECT doc_id, {_SQL_KIND} AS k, {_SQL_TEXT} AS s FROM documents)""")
 def norm_street_poi(spark, d):
-    name = F.replace(_line(), F.lit(" the "), F.lit(" da "))
+    name = F.replace(_text(), F.lit(" the "), F.lit(" da "))
     return t(spark, d, "documents").select("doc_id", poi_street(_kind(), name).alias("street"))
 
 
 def _sql_index_street(s: str) -> str:
-    out = rf"trim(upper({_sql_fold(s)}), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31))"
-    for short, full in text_functions.ABBREVIATIONS:
+    out = rf"trim(upper({s}), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31))"
+    for pair in "R RUA,AV AVENIDA,AVDA AVENIDA,AL ALAMEDA,ALM ALAMEDA,TV TRAVESSA,TRAV TRAVESSA,PC PRACA,PCA PRACA,PRA PRACA,LG LARGO,ROD RODOVIA,EST ESTRADA,BC BECO,LD LADEIRA,VL VILA,JD JARDIM,COND CONDOMINIO".split(","):
+        short, full = pair.split()
         out = rf"regexp_replace({out}, '\b{short}\b', '{full}', 'g')"
     return rf"nullif(trim(regexp_replace(regexp_replace({out}, '\b(DE|DA|DO|DAS|DOS|E)\b', '', 'g'), '\s+', ' ', 'g')), '')"
 
 
-@query(f"SELECT doc_id, {_sql_index_street('s')} AS street FROM (SELECT doc_id, 'Av. ' || {_SQL_LINE} || ' do Jd' AS s FROM documents)")
+@query(f"SELECT doc_id, {_sql_index_street('s')} AS street FROM (SELECT doc_id, 'Av. {ODD_FOLDED}' || {_sql_fold(_SQL_TEXT)} || ' do Jd' AS s FROM documents)")
 def norm_street_index(spark, d):
-    return t(spark, d, "documents").select("doc_id", index_street(F.concat(F.lit("Av. "), _line(), F.lit(" do Jd"))).alias("street"))
+    return t(spark, d, "documents").select("doc_id", index_street(F.concat(F.lit(f"Av. {ODD}"), _text(), F.lit(" do Jd"))).alias("street"))
 
 
-@query(rf"SELECT doc_id, nullif(regexp_replace(trim(upper({_sql_fold('s')})), '\s+', ' ', 'g'), '') AS city FROM (SELECT doc_id, {_SQL_LINE} AS s FROM documents)")
+@query(rf"SELECT doc_id, nullif(regexp_replace(trim(upper(s)), '\s+', ' ', 'g'), '') AS city FROM (SELECT doc_id, '{ODD_FOLDED}' || {_sql_fold(_SQL_TEXT)} AS s FROM documents)")
 def norm_city(spark, d):
-    return t(spark, d, "documents").select("doc_id", index_city(_line()).alias("city"))
-
-
-@query(ORACLE_SQL["norm_street_poi"].replace(_SQL_LINE, _SQL_TEXT))
-def norm_street_poi_whole(spark, d):
-    name = F.replace(_text(), F.lit(" the "), F.lit(" da "))
-    return t(spark, d, "documents").select("doc_id", poi_street(_kind(), name).alias("street"))
-
-
-@query(ORACLE_SQL["norm_street_index"].replace(_SQL_LINE, _SQL_TEXT))
-def norm_street_index_whole(spark, d):
-    return t(spark, d, "documents").select("doc_id", index_street(F.concat(F.lit("Av. "), _text(), F.lit(" do Jd"))).alias("street"))
-
-
-@query(ORACLE_SQL["norm_city"].replace(_SQL_LINE, _SQL_TEXT))
-def norm_city_whole(spark, d):
-    return t(spark, d, "documents").select("doc_id", index_city(_text()).alias("city"))
+    return t(spark, d, "documents").select("doc_id", index_city(F.concat(F.lit(ODD), _text())).alias("city"))
 
 
-@query(f"SELECT doc_id, {_sql_fold('text')} AS folded FROM documents")
+@query(f"SELECT doc_id, '{ODD_FOLDED}' || {_sql_fold('text')} AS folded FROM documents")
 def fold_ascii(spark, d):
-    return t(spark, d, "documents").select("doc_id", fold(F.col("text")).alias("folded"))
+    return t(spark, d, "documents").select("doc_id", fold(F.concat(F.lit(ODD), F.col("text"))).alias("folded"))
 
 
 NUMBERS = ["12", " 7b", "S/N", "sn", "0", "", "00", "KM 5", "SEM NUMERO", "123A"]
@@ -476,13 +463,13 @@ _SQL_D = """SELECT event_id, event_type, CASE WHEN event_id % 11 <> 0 AND event_
 
 
 def _sql_stats(keys: str) -> str:
-    at = ", ".join(f"round(list_sort(list(distance_m))[CAST(floor({p} * count(*)) AS BIGINT) + 1], 6) AS {k}" for k, p in validate.QUANTILES.items())
+    at = ", ".join(f"round(list_sort(list(distance_m))[CAST(floor(0.{p} * count(*)) AS BIGINT) + 1], 6) AS p{p}" for p in (50, 90, 95, 99))
     return f"""SELECT {keys} count(*) AS n, round(avg(distance_m), 4) AS mean, round(stddev_pop(distance_m), 4) AS std, round(min(distance_m), 6) AS min, round(max(distance_m), 6) AS max,
  count(*) FILTER (distance_m < 50) AS below_50, count(*) FILTER (distance_m >= 5000) AS from_5000, {at} FROM ({_SQL_D}) WHERE distance_m IS NOT NULL"""
 
 
 def _rounded(df: DataFrame) -> DataFrame:
-    for c in ("min", "max", *validate.QUANTILES):
+    for c in ("min", "max", "p50", "p90", "p95", "p99"):
         df = df.withColumn(c, r6(F.col(c)))
     return df.withColumn("mean", F.round("mean", 4)).withColumn("std", F.round("std", 4))
 
@@ -497,7 +484,7 @@ def layer_stats_all(spark, d):
     return _rounded(validate.distance_stats(_distances(spark, d), by=["event_type"], total="ALL"))
 
 
-_SQL_B = ", ".join(f"({i}, '{name}', {low}.0, {'1e300' if high is None else f'{high}.0'})" for i, (low, high, name) in enumerate(validate.BUCKETS))
+_SQL_B = "(0, '<50 m', 0.0, 50.0), (1, '50-200 m', 50.0, 200.0), (2, '200-500 m', 200.0, 500.0), (3, '500 m-1 km', 500.0, 1000.0), (4, '1-5 km', 1000.0, 5000.0), (5, '>5 km', 5000.0, 1e300)"
 
 
 @query(f"""SELECT b.i AS bucket, b.l AS label, count(x.event_id) AS n, round(100.0 * count(x.event_id) / sum(count(x.event_id)) OVER (), 6) AS percent
