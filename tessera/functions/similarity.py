@@ -1,6 +1,6 @@
 """Jaro-Winkler similarity of UTF-8 bytes.
 
-Spark has no such function, so an Arrow UDF scores what native bounds can't settle: equal
+Spark has no such function, so an Arrow UDF scores whole batches of what native bounds can't settle: equal
 strings are 1, empty ones 0, and for a threshold, pairs whose lengths rule it out are never
 sent to Python. The UDF is declared non-deterministic, which keeps the optimizer from
 evaluating it a second time in a pushed-down filter.
@@ -9,8 +9,9 @@ evaluating it a second time in a pushed-down filter.
 from __future__ import annotations
 
 import math
-from functools import lru_cache
+from collections.abc import Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,13 +20,18 @@ from pyspark.sql import functions as F
 WEIGHT, PREFIX, BOOST_FROM = 0.1, 4, 0.7
 
 
-@lru_cache(1 << 16)
+def _finished(n: int, m: int, same: int, moved: int, common: int) -> float:
+    """From the lengths, the matching bytes, those of them in another order, and the common prefix."""
+    if not same:
+        return 0.0
+    j = (same / n + same / m + (same - moved // 2) / same) / 3
+    return j if j <= BOOST_FROM else math.fma(common * WEIGHT, 1.0 - j, j)  # rounded once, as engines compiled with contraction do
+
+
 def jaro_winkler_score(a: str, b: str) -> float:
     """The similarity of two strings, byte by byte; 0 if either is empty."""
     x, y = a.encode(), b.encode()
     n, m = len(x), len(y)
-    if not n or not m:
-        return 0.0
     reach = max(0, max(n, m) // 2 - 1)
     free, left = [True] * m, bytearray()
     for i, c in enumerate(x):
@@ -35,20 +41,80 @@ def jaro_winkler_score(a: str, b: str) -> float:
         if j >= 0:
             free[j] = False
             left.append(c)
-    same = len(left)
-    if not same:
-        return 0.0
     right = bytes(c for c, f in zip(y, free, strict=True) if not f)
-    swapped = sum(p != q for p, q in zip(left, right, strict=True)) // 2
-    j = (same / n + same / m + (same - swapped) / same) / 3
-    if j <= BOOST_FROM:
-        return j
+    moved = sum(p != q for p, q in zip(left, right, strict=True))
     common = next((k for k, (p, q) in enumerate(zip(x[:PREFIX], y[:PREFIX], strict=False)) if p != q), min(n, m, PREFIX))
-    return math.fma(common * WEIGHT, 1.0 - j, j)  # rounded once, as engines compiled with contraction do
+    return _finished(n, m, len(left), moved, common)
+
+
+def _matrix(strings: list[bytes], size: np.ndarray, fill: int) -> np.ndarray:
+    """A row of bytes for each string, filled up with a number that is no byte."""
+    width = int(size.max(initial=0))
+    out = np.full((len(strings), max(width, PREFIX)), fill, np.int16)
+    out[np.arange(out.shape[1]) < size[:, None]] = np.frombuffer(b"".join(strings), np.uint8)
+    return out
+
+
+def _ordered(chars: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The chosen bytes of each row, moved to its beginning."""
+    out = np.full(chars.shape, -3, np.int16)
+    row, column = np.nonzero(chosen)
+    out[row, (np.cumsum(chosen, 1) - 1)[row, column]] = chars[row, column]
+    return out
+
+
+def _rows(x: list[bytes], y: list[bytes]) -> list[float]:
+    """The similarity of each pair; all pairs move along x together, one byte at a time."""
+    n, m = np.array(list(map(len, x))), np.array(list(map(len, y)))
+    a, b = _matrix(x, n, -1), _matrix(y, m, -2)
+    reach = np.maximum(0, np.maximum(n, m) // 2 - 1)[:, None]
+    free, hit, place = np.ones(b.shape, bool), np.zeros(a.shape, bool), np.arange(b.shape[1])
+    row = np.arange(len(x))
+    for i in range(int(n.max(initial=0))):
+        fits = (b == a[:, i : i + 1]) & free & (np.abs(place - i) <= reach)
+        first = fits.argmax(1)
+        some = fits[row, first]
+        hit[:, i] = some
+        free[row[some], first[some]] = False
+    left, right = _ordered(a, hit), _ordered(b, ~free)
+    width = min(left.shape[1], right.shape[1])
+    moved = (left[:, :width] != right[:, :width]).sum(1)
+    common = np.logical_and.accumulate(a[:, :PREFIX] == b[:, :PREFIX], 1).sum(1)
+    return list(map(_finished, n.tolist(), m.tolist(), hit.sum(1).tolist(), moved.tolist(), common.tolist()))
+
+
+#: Bytes of a block's matrices at most, and the longest strings that go there.
+BLOCK, LONGEST = 1 << 22, 512
+
+
+def scores(a: Sequence[str], b: Sequence[str]) -> list[float]:
+    """The similarities of pairs, in blocks of pairs of about the same length; long strings go one by one."""
+    x, y = [s.encode() for s in a], [s.encode() for s in b]
+    size = np.array([max(len(p), len(q)) for p, q in zip(x, y, strict=True)], np.int64)
+    out: list[float] = [0.0] * len(x)
+    order = np.argsort(size, kind="stable")
+    short = order[: np.searchsorted(size[order], LONGEST, "right")]
+    at = 0
+    while at < len(short):
+        many = max(1, BLOCK // max(1, int(size[short[min(len(short) - 1, at + 4095)]])) // 8)
+        block = short[at : at + min(many, 4096)].tolist()
+        for i, score in zip(block, _rows([x[i] for i in block], [y[i] for i in block]), strict=True):
+            out[i] = score
+        at += len(block)
+    for i in order[len(short) :].tolist():
+        out[i] = jaro_winkler_score(a[i], b[i])
+    return out
 
 
 def _score_all(a: pa.Array, b: pa.Array) -> pa.Array:
-    return pa.array([None if x is None or y is None else jaro_winkler_score(x, y) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.float64())
+    """Each distinct pair of a batch is scored once."""
+    pairs = list(zip(a.to_pylist(), b.to_pylist(), strict=True))
+    number: dict[tuple[str, str], int] = {}
+    for p in pairs:
+        if p[0] is not None and p[1] is not None:
+            number.setdefault(p, len(number))
+    found = scores([p[0] for p in number], [p[1] for p in number])
+    return pa.array([found[number[p]] if p in number else None for p in pairs], pa.float64())
 
 
 def _scored(a: Column, b: Column) -> Column:
