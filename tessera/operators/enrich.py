@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 from ..functions import compose_id
 from ..schema import POI
 
-#: Lookup rows that are broadcast at most; larger tables are joined by shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Rows and bytes of a table that is broadcast at most; larger ones are joined by shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 
 
-def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """The table with a broadcast hint if counting it shows that it is small."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+def small(df: DataFrame, most: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The table with a broadcast hint if its rows and bytes, as counted, show that it is small."""
+    size = F.coalesce(F.octet_length(F.to_csv(F.struct(*[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(df.columns)]))), F.lit(0))
+    got = df.limit(most + 1).agg(F.count("*").alias("rows"), F.sum(size).alias("bytes")).first()
+    return F.broadcast(df) if got.rows <= most and (got.bytes or 0) <= most_bytes else df
 
 
 def labelled(df: DataFrame, lookup: DataFrame | None, code: str, into: str, *, key: str = "codigo", label: str = "descricao", broadcast: bool = True) -> DataFrame:

@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions import cep_key, cep_key_strict, within
 from ..schema import CENTROID, CEP, NONE, PENDING, RESULT_LABELS, UNKNOWN_LABEL
+from .enrich import small
+
+
+#: Fixed value: the key of rows without digits.
+BLANK = "00000000"
 
 
 def missing_keys(pois: DataFrame, cache: DataFrame, column: str = "cep", key: str = "cep") -> DataFrame:
@@ -15,16 +20,26 @@ def missing_keys(pois: DataFrame, cache: DataFrame, column: str = "cep", key: st
     return wanted.join(cache.select(key), key, "left_anti")
 
 
+def by_key(df: DataFrame, side: DataFrame, own: Column, key: str, value: str) -> DataFrame:
+    """`df` with the struct `value` of the side's row of the key `own`; keys are unique there.
+    Rows without digits share the blank key, so its one row is broadcast and all others are joined by theirs."""
+    blank = side.where(F.col(key) == BLANK).select(F.col(key).alias("__blank"), F.col(value).alias("__of_blank"))
+    named = side.where(F.col(key) != BLANK).select(F.col(key).alias("__key"), F.col(value).alias("__of_key"))
+    out = df.withColumn("__own", own).join(named, F.nullif("__own", F.lit(BLANK)) == F.col("__key"), "left")
+    out = out.join(F.broadcast(blank), F.col("__own") == F.col("__blank"), "left")
+    return out.withColumn(value, F.coalesce("__of_key", "__of_blank")).drop("__own", "__key", "__of_key", "__blank", "__of_blank")
+
+
 def number(value: Column) -> Column:
     """A double, or null for what isn't a number."""
     return value.try_cast("double")
 
 
 def located(pois: DataFrame, cache: DataFrame, column: str = "cep") -> DataFrame:
-    """All rows with lat, lon and geo_precision from the cache by their key."""
-    side = cache.groupBy(F.col("cep").alias("__key")).agg(F.max(F.struct(number(F.col("lat")).alias("lat"), number(F.col("lon")).alias("lon"))).alias("__at"))
-    out = pois.withColumn("__own", cep_key_strict(F.col(column))).join(side, F.col("__own") == F.col("__key"), "left")
-    out = out.withColumn("lat", F.col("__at.lat")).withColumn("lon", F.col("__at.lon")).drop("__own", "__key", "__at")
+    """All rows with lat, lon and geo_precision from the cache by their key; of repeated keys the greatest place counts."""
+    side = cache.groupBy(F.col("cep").alias("key")).agg(F.max(F.struct(number(F.col("lat")).alias("lat"), number(F.col("lon")).alias("lon"))).alias("__at"))
+    out = by_key(pois, side, cep_key_strict(F.col(column)), "key", "__at")
+    out = out.withColumn("lat", F.col("__at.lat")).withColumn("lon", F.col("__at.lon")).drop("__at")
     return out.withColumn("geo_precision", F.when(F.col("lat").isNotNull(), CEP).otherwise(NONE))
 
 
@@ -32,14 +47,14 @@ def flag_centres(df: DataFrame, centres: DataFrame, key: str = "municipio", metr
     """`municipio_centroid` where a looked-up place is within `metres` of its city's centre, the border included."""
     side = centres.select(F.col(key).alias("__key"), F.col("lat_centro").alias("__lat"), F.col("lon_centro").alias("__lon"))
     near = (F.col("geo_precision") == CEP) & within(F.col("lat"), F.col("lon"), F.col("__lat"), F.col("__lon"), metres)
-    out = df.join(F.broadcast(side), F.col(key) == F.col("__key"), "left")  # a row for each city of a country
+    out = df.join(small(side), F.col(key) == F.col("__key"), "left")  # a row for each city of a country
     return out.withColumn("geo_precision", F.when(near, CENTROID).otherwise(F.col("geo_precision"))).drop("__key", "__lat", "__lon")
 
 
 def crosswalk(centres: DataFrame, codes: DataFrame, own: str = "codigo_rf", other: str = "codigo_ibge", key: str = "municipio") -> DataFrame:
     """Centres under the registry's own city codes instead of the census's."""
     side = codes.select(F.col(other).cast("string").alias("__other"), F.col(own).cast("string").alias("__own"))
-    return centres.join(F.broadcast(side), F.col(key) == F.col("__other")).select(F.col("__own").alias(key), "lat_centro", "lon_centro")
+    return centres.join(small(side), F.col(key) == F.col("__other")).select(F.col("__own").alias(key), "lat_centro", "lon_centro")
 
 
 def needs_fallback(df: DataFrame) -> DataFrame:
@@ -57,11 +72,12 @@ def merge_fallback(df: DataFrame, found: DataFrame, id: str = "cnpj") -> DataFra
 
 
 def three_state(pois: DataFrame, cache: DataFrame, column: str = "cep") -> DataFrame:
-    """The output while lookups still run: `cep`, `none` for keys that have no place, `pending` for keys not asked yet."""
-    side = cache.select(cep_key(F.col("cep")).alias("__key"), F.col("lat").alias("__lat"), F.col("lon").alias("__lon")).dropDuplicates(["__key"])
-    out = pois.join(side, cep_key(F.col(column)) == F.col("__key"), "left")
-    state = F.when(F.col("__key").isNull(), PENDING).when(F.col("__lat").isNull(), NONE).otherwise(CEP)
-    return out.withColumn("lat", F.col("__lat")).withColumn("lon", F.col("__lon")).withColumn("geo_precision", state).drop("__key", "__lat", "__lon")
+    """The output while lookups still run: `cep`, `none` for keys that have no place, `pending` for
+    keys not asked yet. Of repeated keys the greatest place counts, any before none."""
+    side = cache.groupBy(cep_key(F.col("cep")).alias("key")).agg(F.max(F.struct("lat", "lon")).alias("__at"))
+    out = by_key(pois, side, cep_key(F.col(column)), "key", "__at")
+    state = F.when(F.col("__at").isNull(), PENDING).when(F.col("__at.lat").isNull(), NONE).otherwise(CEP)
+    return out.withColumn("geo_precision", state).withColumn("lat", F.col("__at.lat")).withColumn("lon", F.col("__at.lon")).drop("__at")
 
 
 def label_of(kind: Column) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import digits, index_city, index_number, index_street, jaro_winkler, poi_city, poi_district, poi_number, poi_street, suburb_clean
 from ..schema import L1, L2, L3, L4, NONE
+from ..scratch import saved
 
 
 @dataclass(frozen=True)
@@ -119,10 +120,14 @@ def layer4(pois: DataFrame, index: DataFrame, n: Names = Names(), t: Thresholds
 
 
 def cascade(pois: DataFrame, index: DataFrame, n: Names = Names(), t: Thresholds = Thresholds(), *, fuzzy: bool = False) -> DataFrame:
-    """(id, lat, lon, geo_precision) of the rows that some layer matches, the first that does."""
-    found = layer1(pois, index, n, t)
+    """(id, lat, lon, geo_precision) of the rows that some layer matches, the first that does.
+
+    Each layer's matches are written to the shared folder before the next layer reads them, so
+    every layer is computed once, over the rows that are left.
+    """
+    found = saved(layer1(pois, index, n, t), "matched")
     for layer in (layer3, layer4)[: 1 + fuzzy]:
-        found = found.unionByName(layer(pois.join(found.select(n.id), n.id, "left_anti"), index, n, t))
+        found = found.unionByName(saved(layer(pois.join(found.select(n.id), n.id, "left_anti"), index, n, t), "matched"))
     return found
 
 

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import haversine_m
+from ..functions.arrays import below
 from ..schema import LAYERS
 
 #: Half-open ranges of distances in metres, and their labels.
 BUCKETS = [(0, 50, "<50 m"), (50, 200, "50-200 m"), (200, 500, "200-500 m"), (500, 1000, "500 m-1 km"), (1000, 5000, "1-5 km"), (5000, None, ">5 km")]
+RANGES = 256
 QUANTILES = {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}
 
 
@@ -24,23 +27,23 @@ def strata(df: DataFrame, column: str = "geo_precision", values: tuple[str, ...]
 
 def allocate(counts: Mapping[str, int], n: int) -> dict[str, int]:
     """How many of a sample of n each stratum gives: in proportion (halves to even), one at
-    least. Too many are taken off the largest shares, never below one; too few are added in
-    the order of `counts`."""
+    least and all it has at most. What the rounded shares have too many comes off the largest
+    ones, one row each staying; what they lack goes to the strata in the order of `counts`."""
     total = sum(counts.values())
-    share = {k: min(max(1, round(n * c / total)), c) if total else 0 for k, c in counts.items()}
-    over = sum(share.values()) - n
-    for k in sorted(share, key=share.__getitem__, reverse=True) if over > 0 else ():
-        cut = min(over, share[k] - 1)
-        share[k], over = share[k] - cut, over - cut
-        if over <= 0:
-            break
-    if over < 0 and total >= n:
-        for k, c in counts.items():
-            add = min(-over, c - share[k])
-            share[k], over = share[k] + add, over + add
-            if over >= 0:
-                break
-    return share
+    if not total:
+        return dict.fromkeys(counts, 0)
+    share = {k: min(c, max(1, round(n * c / total))) for k, c in counts.items()}
+    lack = n - sum(share.values())
+    if lack > 0 and total < n:
+        return share
+    # Room of each stratum to be corrected by, in the order of correction; each takes what those before it leave.
+    if lack < 0:
+        room = [(k, share[k] - 1) for k in sorted(share, key=share.__getitem__, reverse=True)]
+    else:
+        room = [(k, c - share[k]) for k, c in counts.items()]
+    before = accumulate((r for _, r in room), initial=0)
+    moved = {k: min(r, max(0, abs(lack) - b)) for (k, r), b in zip(room, before, strict=False)}
+    return {k: m + (moved[k] if lack > 0 else -moved[k]) for k, m in share.items()}
 
 
 def sample(df: DataFrame, share: Mapping[str, int], column: str, id: str, seed: int = 0, order: Column | None = None) -> DataFrame:
@@ -61,8 +64,9 @@ def distance_stats(df: DataFrame, column: str = "distance_m", by: list[str] | No
     """n, mean, population deviation, extremes, quantiles and counts below 50 m and from 5 km
     up, by the columns `by`; with `total`, also over all rows, under that name.
 
-    A quantile p of n sorted values is the one at index int(p * n). Ranks are counted by
-    group; where one group has most rows, by ranges of values first, so none is sorted in one task.
+    A quantile p of n sorted values is the one at index int(p * n). Equal values are one row
+    with a count; each group's are cut into ranges at its approximate quantiles, so that ranges
+    have about as many rows each whatever the distribution, and a task sorts one range only.
     """
     d = F.col(column)
     rows = df.where(d.isNotNull()).select(*(by or []), d.alias("__d"))
@@ -76,9 +80,8 @@ def distance_stats(df: DataFrame, column: str = "distance_m", by: list[str] | No
         F.count("*").alias("n"), F.avg("__d").alias("mean"), F.stddev_pop("__d").alias("std"), F.min("__d").alias("min"), F.max("__d").alias("max"),
         F.count_if(F.col("__d") < 50).alias("below_50"), F.count_if(F.col("__d") >= 5000).alias("from_5000"),
     )
-    cells = counts.join(size.select(*by, F.col("n").alias("__n"), F.col("min").alias("__lo"), F.col("max").alias("__hi")), by)
-    wide = F.col("__hi") > F.col("__lo")
-    cells = cells.withColumn("__r", F.when(wide, F.floor((F.col("__d") - F.col("__lo")) / F.when(wide, F.col("__hi") - F.col("__lo")) * 255)).otherwise(0))
+    cuts = counts.groupBy(*by).agg(F.array_distinct(F.percentile_approx("__d", [i / RANGES for i in range(1, RANGES)], 10 * RANGES)).alias("__cuts"))
+    cells = counts.join(size.select(*by, F.col("n").alias("__n")), by).join(cuts, by).withColumn("__r", below(F.col("__cuts"), F.col("__d"))).drop("__cuts")
     ranges = cells.groupBy(*by, "__r").agg(F.sum("__c").alias("__m"))
     ahead = Window.partitionBy(*by).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.withColumn("__base", F.coalesce(F.sum("__m").over(ahead), F.lit(0))).drop("__m")
