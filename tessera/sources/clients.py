@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import json
 import time
+import urllib.error
+import urllib.parse
+import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -21,6 +24,39 @@ from ..operators.geocode import parse_lookup, parse_structured, street_line
 Client = Callable[[dict], tuple[int, str]]
 
 
+def http_get(url: str, timeout: float) -> tuple[int, str]:
+    """Status and body, of refused requests too."""
+    try:
+        with urllib.request.urlopen(url, timeout=timeout) as got:
+            return got.status, got.read().decode("utf-8", "replace")
+    except urllib.error.HTTPError as e:
+        return e.code, ""
+
+
+@dataclass(frozen=True)
+class HttpLookup:
+    """A key lookup over HTTP; the key stands in the address where `template` has {cep}."""
+
+    template: str
+    timeout: float = 15.0
+
+    def __call__(self, parameters: dict) -> tuple[int, str]:
+        return http_get(self.template.format(**{k: urllib.parse.quote(str(v), safe="") for k, v in parameters.items()}), self.timeout)
+
+
+@dataclass(frozen=True)
+class HttpStructured:
+    """A structured geocoder over HTTP: the request's fields and the access key are the query."""
+
+    address: str
+    key: str = ""
+    timeout: float = 15.0
+
+    def __call__(self, parameters: dict) -> tuple[int, str]:
+        fields = {k: v for k, v in parameters.items() if v not in (None, "")} | ({"key": self.key} if self.key else {})
+        return http_get(f"{self.address}?{urllib.parse.urlencode(fields)}", self.timeout)
+
+
 @dataclass(frozen=True)
 class Retry:
     attempts: int = 3

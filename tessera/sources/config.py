@@ -14,7 +14,20 @@ class Config:
     intermediate_dir: str = "data/intermediate"
     cache_dir: str = "data/cache"
     output_dir: str = "data/output"
+    log_dir: str = "data/log"
+    #: A file of activity codes and their tags; the join needs it, and there is none to fall back on.
     tag_map: str = "tags.yaml"
+    #: Addresses of the geocoding services, {cep} standing for the key; empty: not asked.
+    lookup_url: str = ""
+    fallback_url: str = ""
+    fallback_key: str = ""
+    #: Answers that are kept at a time, and after how many the partial output is made again.
+    flush: int = 1_000
+    partial_every: int = 5_000
+    #: City polygons (GeoPackage) with the column of their codes, and a table of codigo_rf, codigo_ibge.
+    centres_package: str = ""
+    centres_code: str = "code_muni"
+    city_codes: str = ""
     encoding: str = "windows-1252"
     delimiter: str = ";"
     compression: str = "zstd"

@@ -8,8 +8,11 @@ import time
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from datetime import date
+from html.parser import HTMLParser
 from pathlib import Path
 from typing import Protocol
+from urllib.parse import urljoin
 
 from pyspark.sql import Column
 
@@ -51,25 +54,46 @@ def urllib_transport(url: str, headers: Mapping[str, str]) -> Response:
     return Response(got.status, blocks=iter(lambda: got.read(1 << 20), b""))
 
 
-def _text(get: Transport, url: str) -> str:
-    r = get(url, {})
-    if r.status != 200:
-        raise OSError(f"HTTP {r.status}: {url}")
-    return b"".join(r.stream()).decode("utf-8", "replace")
+class _Anchors(HTMLParser):
+    """The targets of a page's links, in order."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.targets: list[str] = []
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.targets += [value for name, value in attrs if tag == "a" and name == "href" and value]
+
+
+def links(get: Transport, url: str) -> list[str]:
+    """What an index page links to."""
+    page = get(url, {})
+    if page.status != 200:
+        raise OSError(f"HTTP {page.status}: {url}")
+    reader = _Anchors()
+    reader.feed(b"".join(page.stream()).decode("utf-8", "replace"))
+    return reader.targets
+
+
+def _date(folder: str) -> date | None:
+    try:
+        return date.fromisoformat(folder.removesuffix("/")) if len(folder) == 11 and folder.endswith("/") else None
+    except ValueError:
+        return None
 
 
 def latest_dump(get: Transport, base: str) -> str:
-    """The latest date among the dated folders of the index page."""
-    dates = re.findall(r'href="(\d{4}-\d{2}-\d{2})/"', _text(get, f"{base}{FOLDER}"))
-    if not dates:
+    """The latest date that a folder of the index page is named after."""
+    newest = max(filter(None, map(_date, links(get, base + FOLDER))), default=None)
+    if newest is None:
         raise OSError("the index has no dated folders")
-    return max(dates)
+    return newest.isoformat()
 
 
-def list_files(get: Transport, base: str, date: str) -> list[dict[str, str]]:
-    """Names and addresses of the zip files of a dump."""
-    url = f"{base}{FOLDER}{date}/"
-    return [{"name": n, "url": url + n} for n in re.findall(r'href="([^"?/][^"]*\.zip)"', _text(get, url))]
+def list_files(get: Transport, base: str, day: str) -> list[dict[str, str]]:
+    """Names and addresses of the zip files that stand in a dump's own folder."""
+    folder = f"{base}{FOLDER}{day}/"
+    return [{"name": target, "url": urljoin(folder, target)} for target in links(get, folder) if target.endswith(".zip") and not set(target) & set("?/")]
 
 
 def kind_pattern(kinds: Iterable[str]) -> str:
@@ -85,32 +109,63 @@ def is_of_kinds(name: Column, kinds: Iterable[str]) -> Column:
     return name.rlike(kind_pattern(kinds))
 
 
-def fetch(get: Transport, url: str, to: Path, *, resume: bool = False, attempts: int = 3, wait: float = 5.0, sleep: Callable[[float], None] = time.sleep) -> Path:
-    """Download to `to`. With `resume`, what is there stays and the rest is asked for; 416 means
-    that there is no more. Failures are tried again."""
-    to.parent.mkdir(parents=True, exist_ok=True)
-    for attempt in range(1, attempts + 1):
-        have = to.stat().st_size if resume and to.exists() else 0
-        try:
-            r = get(url, {"Range": f"bytes={have}-"} if have else {})
-            if have and r.status == 416:
-                return to
-            if r.status == 404:
-                raise FileNotFoundError(url)
-            if r.status not in (200, 206):
-                raise OSError(f"HTTP {r.status}: {url}")
-            with to.open("ab" if have and r.status == 206 else "wb") as f:
-                for block in r.stream():
-                    f.write(block)
-            return to
-        except FileNotFoundError:
-            raise
-        except OSError as e:
-            if attempt == attempts:
+@dataclass(frozen=True)
+class Attempts:
+    """How often something is tried, and how long to wait in between; what `final` names isn't tried again."""
+
+    times: int = 3
+    wait: float = 5.0
+    sleep: Callable[[float], None] = time.sleep
+    final: tuple[type[Exception], ...] = (FileNotFoundError,)
+
+    def of(self, what: str, action: Callable[[], None]) -> None:
+        failures = 0
+        while True:
+            try:
+                return action()
+            except self.final:
                 raise
-            log.warning("attempt %d of %s failed: %s", attempt, url, e)
-            sleep(wait)
-    raise AssertionError
+            except OSError as e:
+                failures += 1
+                if failures >= self.times:
+                    raise
+                log.warning("%s failed (%d of %d): %s", what, failures, self.times, e)
+            self.sleep(self.wait)
+
+
+@dataclass
+class Target:
+    """A file that is written from the beginning or, where its server agrees, from where it ends."""
+
+    path: Path
+    resume: bool = False
+
+    def size(self) -> int:
+        return self.path.stat().st_size if self.resume and self.path.exists() else 0
+
+    def take(self, get: Transport, url: str) -> None:
+        """One request. A range beyond the end (416) means that the file is whole."""
+        size = self.size()
+        answer = get(url, {"Range": f"bytes={size}-"} if size else {})
+        match answer.status:
+            case 416 if size:
+                return
+            case 404:
+                raise FileNotFoundError(url)
+            case 200 | 206:
+                with self.path.open("r+b" if size else "wb") as out:
+                    out.seek(size if answer.status == 206 else 0)
+                    out.truncate()
+                    out.writelines(answer.stream())
+            case other:
+                raise OSError(f"HTTP {other}: {url}")
+
+
+def fetch(get: Transport, url: str, to: Path, *, resume: bool = False, attempts: Attempts = Attempts()) -> Path:
+    """Download to `to`. With `resume`, what is there stays and the rest is asked for."""
+    to.parent.mkdir(parents=True, exist_ok=True)
+    attempts.of(url, lambda: Target(to, resume).take(get, url))
+    return to
 
 
 @dataclass

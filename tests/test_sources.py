@@ -60,7 +60,7 @@ def test_geopackage(spark, tmp_path):
 
 def test_download(tmp_path):
     zipped = b"x" * 100 + archives.END_MARK + b"\0" * 18
-    asked = []
+    asked, waited = [], []
 
     def get(url, headers):
         asked.append((url, dict(headers)))
@@ -82,8 +82,9 @@ def test_download(tmp_path):
     assert [f["name"] for f in files] == ["Empresas0.zip", "cnaes.zip", "Gone1.zip", "Empresas1.zip"]
     assert [f["name"] for f in download.of_kinds(files, ["emp", "cnae"])] == ["Empresas0.zip", "cnaes.zip", "Empresas1.zip"]
     (tmp_path / "cnaes.zip").write_bytes(zipped)
-    got = download.fetch_all(get, files, tmp_path, attempts=2, sleep=lambda s: None)
+    got = download.fetch_all(get, files, tmp_path, attempts=download.Attempts(2, sleep=waited.append))
     assert (got.done, got.skipped, got.missing, got.failed) == (["Empresas0.zip"], ["cnaes.zip"], ["Gone1.zip"], ["Empresas1.zip"])
+    assert waited == [5.0]
     part = tmp_path / "part.zip"
     part.write_bytes(zipped[:30])
     assert download.fetch(get, "http://h/part.zip", part, resume=True).read_bytes() == zipped
