@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import logging
+import shutil
+import tempfile
+import zipfile
 from logging.handlers import RotatingFileHandler
 from pathlib import Path
 
@@ -29,7 +33,9 @@ def session(app: str = "tessera", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     for k, v in (ADAPTIVE | REQUIRED | given).items():
         builder = builder.config(k, v)
-    return prepared(builder.getOrCreate())
+    spark = prepared(builder.getOrCreate())
+    ship(spark)
+    return spark
 
 
 def prepared(spark: SparkSession) -> SparkSession:
@@ -39,6 +45,22 @@ def prepared(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the application, wherever they run; once for each."""
+    if spark.sparkContext.applicationId in _shipped:
+        return
+    root, folder = Path(__file__).resolve().parent, Path(tempfile.mkdtemp(prefix="tessera-package-"))
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(folder / "tessera.zip", "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(folder / "tessera.zip"))
+    _shipped.add(spark.sparkContext.applicationId)
+
+
 def log_to(folder: str, level: int = logging.INFO) -> logging.Logger:
     """The package's log, on the console and in a file that starts anew at 10 MB; set up once."""
     log = logging.getLogger("tessera")

@@ -1,6 +1,9 @@
 """Every query of the engine against its SQL, over the smallest tables."""
 
 import math
+import shutil
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -36,7 +39,28 @@ def test_query(spark, con, name):
     assert got == sorted(tuple(map(plain, r)) for r in want.fetchall())
 
 
-def test_the_entry_without_the_text_operators():
-    import __spark_entry__ as e
+ALONE = """
+import sys
+sys.path.insert(0, {root!r})
+import __spark_entry__ as e
+from tessera import queries
+assert set(e.queries()) == set(queries.QUERIES) and e.oracle_sql() == queries.ORACLE_SQL and not e.HAS_LLM
+import tessera.plans.accuracy, tessera.plans.export, tessera.plans.matching, tessera.plans.pipeline, tessera.streaming, tessera.scratch
+assert not any(m.startswith("tessera.llm") for m in sys.modules)
+"""
+
 
-    assert set(queries.QUERIES) <= set(e.queries()) and set(queries.ORACLE_SQL) <= set(e.oracle_sql())
+@pytest.mark.parametrize("left", ["nothing", "empty folders"])
+def test_the_entry_without_the_text_operators(tmp_path, left):
+    """As they are left once the text operators, their tests and the pipeline are deleted."""
+    root = Path(__file__).resolve().parent.parent
+    copy = tmp_path / "copy"
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", "*.json", "*.txt"))
+    for folder in (copy / "tessera" / "llm", copy / "tests" / "llm"):
+        shutil.rmtree(folder, ignore_errors=True)
+        if left == "empty folders":
+            folder.mkdir()
+    (copy / "corpus_pipeline.py").unlink(missing_ok=True)
+    subprocess.run([sys.executable, "-c", ALONE.format(root=str(copy))], check=True, cwd=tmp_path)
+    collected = subprocess.run([sys.executable, "-m", "pytest", "--collect-only", "-q", "tests"], check=True, cwd=copy, capture_output=True, text=True).stdout
+    assert "test_queries.py" in collected and "error" not in collected.lower()
