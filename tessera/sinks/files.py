@@ -21,6 +21,12 @@ def done(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and (fs.getFileStatus(p).isFile() or fs.exists(Path(f"{path}/_SUCCESS")))
 
 
+def remove(spark: SparkSession, *paths: str) -> None:
+    for path in paths:
+        fs, p, _ = _fs(spark, path)
+        fs.delete(p, True)
+
+
 def _write(writer, df: DataFrame, path: str, single: bool) -> str:
     """writer(df, folder); with `single`, one part file under the path itself."""
     if not single:

@@ -91,7 +91,7 @@ def test_pipeline(spark, run):
     assert paths[0].endswith("/amenity_fuel_SP.geojson")
     assert [f["geometry"] for f in json.load(open(paths[0]))["features"]] == [None, None]
     with pytest.raises(SystemExit):
-        pipeline.parser().parse_args([])
+        pipeline.parser().parse_args(["--from-step", "none"])
 
 
 P = "cnpj string, cep_norm string, num_norm string, street_norm string, city_norm string, bairro_norm string"
