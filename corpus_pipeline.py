@@ -18,6 +18,7 @@ from tessera.llm.queries import held_out, table, tokenizer
 from tessera.llm.simhash import classes, keep_one
 from tessera.llm.token_files import round_trip
 from tessera.llm.toxicity import score, train
+from tessera.session import ship
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,6 +50,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
