@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM, Powers, Words, groups, ranges, saved, shingles, utf8
+from .common import ALNUM, Powers, Words, groups, ranges, saved, shingles, unused, utf8
 
 #: Bytes of document text that one round of the kernel takes.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 #: Candidates whose words are compared at a time.
 CONFIRM = 1 << 13
 
@@ -272,11 +272,13 @@ def contamination(docs: DataFrame, items: DataFrame, *, text: str = "text", item
     flat = lambda name: F.flatten(F.collect_list(f"x.{name}"))  # noqa: E731  one row a block
     hits = hits.groupBy("k").agg(F.sort_array(F.array_distinct(flat("items"))).alias("items"), F.sort_array(flat("runs")).alias("all"))
     joined = F.aggregate("all", F.array().cast("array<array<bigint>>"), lambda acc, r: F.when((F.size(acc) > 0) & (F.element_at(F.element_at(acc, -1), -1) >= r[0]), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.array(F.element_at(acc, -1)[0], F.greatest(F.element_at(acc, -1)[1], r[1]))))).otherwise(F.concat(acc, F.array(r))))
-    hits = hits.select(F.col("k").alias("__k"), F.col("items").alias("__items"), joined.alias("__runs"))
+    own, other, found, covered = unused(docs, "__key", "__k", "__items", "__runs")
+    hits = hits.select(F.col("k").alias(other), F.col("items").alias(found), joined.alias(covered))
     count = F.size(F.expr(r"regexp_extract_all(lower(coalesce(`%s`, '')), '[0-9a-z\\x{80}-\\x{10FFFF}]+', 0)" % text)).cast("long")
     empty = F.array().cast("array<bigint>")
-    sized = F.aggregate(F.col("__runs"), F.lit(0).cast("long"), lambda acc, r: acc + r[1] - r[0])
-    return docs.withColumn("__key", key).join(hits, F.col("__key") == F.col("__k"), "left").withColumn(into, F.struct(count.alias("n_words"), F.coalesce(sized, F.lit(0).cast("long")).alias("n_hit"), F.coalesce("__items", empty).alias("items"), F.coalesce("__runs", F.array().cast("array<array<bigint>>")).alias("runs"))).drop("__key", "__k", "__items", "__runs")
+    sized = F.aggregate(F.col(covered), F.lit(0).cast("long"), lambda acc, r: acc + r[1] - r[0])
+    answer = F.struct(count.alias("n_words"), F.coalesce(sized, F.lit(0).cast("long")).alias("n_hit"), F.coalesce(found, empty).alias("items"), F.coalesce(covered, F.array().cast("array<array<bigint>>")).alias("runs"))
+    return docs.withColumn(own, key).join(hits, F.col(own) == F.col(other), "left").withColumn(into, answer).drop(own, other, found, covered)
 
 
 def is_contaminated(column: str = "contamination"):

@@ -167,7 +167,7 @@ def mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source:
     an empty table gives an empty mix; other columns are ignored.
     """
     spark = docs.sparkSession
-    rows = saved(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), words_in(F.col(text)).alias("size"), F.xxhash64(F.col(doc_id), F.lit(seed)).alias("h")), "mix")
+    rows = saved(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), words_in(F.col(text)).alias("size")).withColumn("h", F.xxhash64("doc_id", "size", F.lit(seed))), "mix")  # by size too, as many may have no id
     found = shares(rows.groupBy("source").agg(F.sum("size").alias("n")), weights, most, block)
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     numbered = small(found.select("s", F.col("source").alias("name")))

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, utf8
+from .common import saved, unused, utf8
 
 SEED = 42
 
@@ -207,7 +207,8 @@ def _joined(rows: DataFrame, named: DataFrame, share: int = 1024) -> DataFrame:
 
 def keep_one(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """The documents whose id is that of their component, each id once; those without an id stay."""
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept"))
-    out = docs.join(kept, F.col(doc_id) == F.col("__kept"), "left_semi").unionByName(docs.where(F.col(doc_id).isNull()))
+    (name,) = unused(docs, "__kept")
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(name))
+    out = docs.join(kept, F.col(doc_id) == F.col(name), "left_semi").unionByName(docs.where(F.col(doc_id).isNull()))
     many, distinct = found.where("doc_id is not null").agg(F.count("doc_id"), F.count_distinct("doc_id")).first()
     return out if many == distinct else out.dropDuplicates([doc_id])
