@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from .common import ALNUM, Powers, Words, groups, ranges, saved, shingles, unused, utf8
 
 #: Bytes of document text that one round of the kernel takes.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 #: Candidates whose words are compared at a time.
 CONFIRM = 1 << 13
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import ALNUM, JOIN, Powers, Words, groups, mix, utf8
 
-CHUNK = 1 << 21
+CHUNK = 1 << 18
 
 
 @dataclass(frozen=True)
