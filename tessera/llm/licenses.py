@@ -3,9 +3,9 @@
 The paragraphs of a text that have a cue are candidates. Their words, in lower case and with
 one space between, are cut into overlapping blocks of several lengths, so that every place
 that can hold a template lies whole in some block hardly longer than itself. Each block is
-compressed alone and with each template as a raw dictionary of zstandard; templates are ranked
-by how much smaller they make it, and all that make it smaller by a twentieth or more are winners,
-however many. A winner is confirmed by its exact wording: the words of template and block are
+compressed alone and with each template, of which it has enough words, as a raw dictionary of
+zstandard; templates are ranked by how much smaller they make it, and all that make it smaller
+by a twentieth or more are winners, however many. A winner is confirmed by its exact wording: the words of template and block are
 aligned, and each stretch is a place if all but a small share of the template's words stand
 there in order. Repeats are found one by one, and the differing words are returned.
 """
@@ -164,17 +164,23 @@ class Scanner:
 
     def found(self, words: list[str], ids: np.ndarray) -> set[tuple[int, int, int, int]]:
         """(differing words, first word, end, template) of all places, of every block's winners."""
-        return {(d, a + s, a + e, i) for a, b, i in self.winners(words) for d, s, e in self.places(ids[a:b], i)}
+        return {(d, a + s, a + e, i) for a, b, i in self.winners(words, ids) for d, s, e in self.places(ids[a:b], i)}
 
-    def winners(self, words: list[str]) -> Iterator[tuple[int, int, int]]:
-        """(first word, end, template) of every block that a template makes enough smaller."""
+    def winners(self, words: list[str], ids: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(first word, end, template) of every block that a template makes enough smaller. Where a
+        block has too few of a template's words to hold it, it isn't compressed with that one."""
         for longest, among in self.lengths.items():
             quarter = -(-longest // 4)
-            for a in range(0, max(1, len(words) - longest + 1), quarter):
-                for share, i in self.ranked(words[a : a + longest + quarter], among):
+            first = np.arange(0, max(1, len(words) - longest + 1), quarter)
+            end = np.minimum(first + longest + quarter, len(words))
+            own = [np.append(0, np.cumsum(self.tests[i][2][ids])) for i in among]
+            holds = np.array([n[end] - n[first] >= self.tests[i][0] for i, n in zip(among, own, strict=True)])
+            for k in np.flatnonzero(holds.any(0)).tolist():
+                a, b = int(first[k]), int(end[k])
+                for share, i in self.ranked(words[a:b], [i for i, h in zip(among, holds[:, k].tolist(), strict=True) if h]):
                     if share < self.s.reduction:
                         break
-                    yield a, a + longest + quarter, i
+                    yield a, b, i
 
     def match(self, block: str) -> list[tuple[int, int, str, float, float, list[str]]]:
         """The licenses of a paragraph by start; where found places overlap, the one with the fewest differing

@@ -95,7 +95,7 @@ def test_winners_have_the_places():
         ids = np.array([S.numbers.get(w, 0) for w in words])
         every = {(d, a, b, i) for i in range(len(S.templates)) for d, a, b in S.places(ids, i)}
         assert S.found(words, ids) == every and every
-        won = {i: [(a, b) for a, b, j in S.winners(words) if j == i] for *_, i in every}
+        won = {i: [(a, b) for a, b, j in S.winners(words, ids) if j == i] for *_, i in every}
         assert all(any(a <= s and e <= b for a, b in won[i]) for _, s, e, i in every)
 
 
