@@ -5,9 +5,10 @@ one space between, are cut into overlapping blocks of several lengths, so that e
 that can hold a template lies whole in some block hardly longer than itself. Each block is
 compressed alone and with each template, of which it has enough words, as a raw dictionary of
 zstandard; templates are ranked by how much smaller they make it, and all that make it smaller
-by a twentieth or more are winners, however many. A winner is confirmed by its exact wording: the words of template and block are
-aligned, and each stretch is a place if all but a small share of the template's words stand
-there in order. Repeats are found one by one, and the differing words are returned.
+by a twentieth or more are winners, however many. A winner is confirmed by its exact wording:
+the words of template and block are aligned, and each stretch is a place if all but a small
+share of the template's words stand there in order. Repeats are found one by one, and the
+differing words are returned.
 """
 
 from __future__ import annotations
