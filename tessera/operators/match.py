@@ -1,8 +1,10 @@
 """Layered matching of addresses against an index of address points.
 
 Each layer is an equi-join on its keys followed by a similarity filter, so the keys decide
-what is compared and Spark splits the keys that are skewed. Ties go to the smallest
-coordinates, and a row that an earlier layer matched takes no part in later ones.
+what is compared and Spark splits the keys that are skewed. What is compared are the distinct
+addresses of either side, so copies of an address cost no comparisons; every row is then told
+what was found for its address. Ties go to the smallest coordinates, and a row that an earlier
+layer matched takes no part in later ones.
 """
 
 from __future__ import annotations
@@ -69,54 +71,80 @@ def _index(index: DataFrame, n: Names) -> DataFrame:
     return index.select(*[F.col(a).alias(b) for a, b in names.items() if a in index.columns])
 
 
-def _best(df: DataFrame, n: Names, first: Sequence[Column], label: str) -> DataFrame:
-    """One row for each id; equal scores go to the smallest coordinates."""
-    order = Window.partitionBy(n.id).orderBy(*first, "__lat", "__lon")
-    top = df.withColumn("__row", F.row_number().over(order)).where("__row = 1")
-    return top.select(n.id, F.col("__lat").alias("lat"), F.col("__lon").alias("lon"), F.lit(label).alias("geo_precision"))
+def _addresses(pois: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct addresses, in columns __p0, __p1 and so on."""
+    return pois.select(*[F.col(k).alias(f"__p{i}") for i, k in enumerate(keys)]).distinct()
+
+
+def _points(index: DataFrame, n: Names, *keys: str) -> DataFrame:
+    """The distinct addresses of the index: how many points have each, and the smallest coordinates."""
+    return _index(index, n).groupBy(*keys).agg(F.count("*").alias("__n"), F.min(F.struct("__lat", "__lon")).alias("__at"))
+
+
+def _first(order: Column) -> Column:
+    """The coordinates of the least `order`, the smallest of several."""
+    return F.min(F.struct(order.alias("order"), "__at")).alias("__best")
+
+
+def _of_rows(pois: DataFrame, n: Names, keys: Sequence[str], found: DataFrame) -> DataFrame:
+    """What was found for the address of each row. Only a district may be null."""
+    on = [F.col(k).eqNullSafe(F.col(f"__p{i}")) if k == n.district else F.col(k) == F.col(f"__p{i}") for i, k in enumerate(keys)]
+    return pois.select(n.id, *keys).join(found, on)
+
+
+def _placed(df: DataFrame, n: Names, label: str) -> DataFrame:
+    return df.select(n.id, F.col("__best.__at.__lat").alias("lat"), F.col("__best.__at.__lon").alias("lon"), F.lit(label).alias("geo_precision"))
+
+
+def _best(pois: DataFrame, n: Names, keys: Sequence[str], scored: DataFrame, label: str) -> DataFrame:
+    """One row for each id, that of the highest score; equal scores go to the smallest coordinates."""
+    found = scored.groupBy(*[f"__p{i}" for i in range(len(keys))]).agg(_first(-F.col("__score")))
+    return _placed(_of_rows(pois, n, keys, found).groupBy(n.id).agg(F.min("__best").alias("__best")), n, label)
 
 
 def layer1(pois: DataFrame, index: DataFrame, n: Names = Names(), t: Thresholds = Thresholds()) -> DataFrame:
     """Equal postcode and number, and a similar street; the most similar one."""
-    p = pois.select(n.id, n.cep, n.number, n.street).where(F.col(n.street).isNotNull())
-    both = p.join(_index(index, n).where("__street is not null"), (F.col(n.cep) == F.col("__cep")) & (F.col(n.number) == F.col("__number")))
-    scored = both.withColumn("__score", jaro_winkler(F.col(n.street), F.col("__street"), t.street)).where(F.col("__score") >= t.street)
-    return _best(scored, n, [F.desc("__score")], L1)
+    keys = [n.cep, n.number, n.street]
+    points = _points(index, n, "__cep", "__number", "__street").where("__street is not null")
+    both = _addresses(pois, keys).where("__p2 is not null").join(points, (F.col("__p0") == F.col("__cep")) & (F.col("__p1") == F.col("__number")))
+    scored = both.withColumn("__score", jaro_winkler(F.col("__p2"), F.col("__street"), t.street)).where(F.col("__score") >= t.street)
+    return _best(pois, n, keys, scored, L1)
 
 
 def layer2(pois: DataFrame, index: DataFrame, n: Names = Names()) -> DataFrame:
     """Equal postcode and number, if only one point has them. Not part of the cascade."""
-    both = pois.select(n.id, n.cep, n.number).join(_index(index, n), (F.col(n.cep) == F.col("__cep")) & (F.col(n.number) == F.col("__number")))
-    alone = both.withColumn("__n", F.count("*").over(Window.partitionBy(n.id))).where("__n = 1")
-    return _best(alone, n, [], L2)
+    points = _points(index, n, "__cep", "__number").select(F.col("__cep").alias("__p0"), F.col("__number").alias("__p1"), "__n", F.struct("__at").alias("__best"))
+    own = _of_rows(pois, n, [n.cep, n.number], points).groupBy(n.id).agg(F.sum("__n").alias("__n"), F.min("__best").alias("__best"))
+    return _placed(own.where("__n = 1"), n, L2)
 
 
-def similar_district(n: Names, t: Thresholds) -> Column:
-    a, b = F.col(n.district), F.col("__suburb")
+def similar_district(a: Column, b: Column, t: Thresholds) -> Column:
     return F.coalesce((F.length(a) > 0) & (F.length(b) > 0) & (jaro_winkler(a, b, t.district) >= t.district), F.lit(False)).cast("int")
 
 
 def layer3(pois: DataFrame, index: DataFrame, n: Names = Names(), t: Thresholds = Thresholds()) -> DataFrame:
     """Equal street, number and city, if that is one point, or one of a similar district. Points
     are counted as they are, so an address that the index has twice isn't unique."""
-    p = pois.select(n.id, n.street, n.number, n.city, n.district)
-    on = (F.col(n.street) == F.col("__street")) & (F.col(n.number) == F.col("__number")) & (F.col(n.city) == F.col("__city"))
-    own = Window.partitionBy(n.id)
-    both = p.join(_index(index, n), on).withColumn("__near", similar_district(n, t))
-    sure = both.withColumn("__n", F.count("*").over(own)).withColumn("__m", F.sum("__near").over(own)).where("__n = 1 or __m = 1")
-    return _best(sure, n, [F.desc("__near")], L3)
+    keys = [n.street, n.number, n.city, n.district]
+    on = (F.col("__p0") == F.col("__street")) & (F.col("__p1") == F.col("__number")) & (F.col("__p2") == F.col("__city"))
+    both = _addresses(pois, keys).join(_points(index, n, "__street", "__number", "__city", "__suburb"), on)
+    near = both.withColumn("__near", similar_district(F.col("__p3"), F.col("__suburb"), t))
+    found = near.groupBy("__p0", "__p1", "__p2", "__p3").agg(F.sum("__n").alias("__n"), F.sum(F.col("__near") * F.col("__n")).alias("__m"), _first(-F.col("__near")))
+    own = _of_rows(pois, n, keys, found).groupBy(n.id).agg(F.sum("__n").alias("__n"), F.sum("__m").alias("__m"), F.min("__best").alias("__best"))
+    return _placed(own.where("__n = 1 or __m = 1"), n, L3)
 
 
 def layer4(pois: DataFrame, index: DataFrame, n: Names = Names(), t: Thresholds = Thresholds()) -> DataFrame:
     """Equal city and number, a similar street, and a district that is similar or unknown. Only
     on request: without a postcode it finds many wrong streets."""
-    p = pois.select(n.id, n.street, n.number, n.city, n.district).where(F.col(n.street).isNotNull())
-    both = p.join(_index(index, n), (F.col(n.city) == F.col("__city")) & (F.col(n.number) == F.col("__number")))
-    scored = both.withColumn("__score", jaro_winkler(F.col(n.street), F.col("__street"), t.fuzzy)).where(F.col("__score") >= t.fuzzy)
-    a, b = F.col(n.district), F.col("__suburb")
+    keys = [n.city, n.number, n.street, n.district]
+    points = _points(index, n, "__city", "__number", "__street", "__suburb")
+    both = _addresses(pois, keys).where("__p2 is not null").join(points, (F.col("__p0") == F.col("__city")) & (F.col("__p1") == F.col("__number")))
+    scored = both.withColumn("__score", jaro_winkler(F.col("__p2"), F.col("__street"), t.fuzzy)).where(F.col("__score") >= t.fuzzy)
+    a, b = F.col("__p3"), F.col("__suburb")
     open_ = a.isNull() | (F.length(b) == 0)
     scored = scored.withColumn("__d", jaro_winkler(F.when(~open_, a), b, t.district)).where(open_ | (F.col("__d") >= t.district))
-    return _best(scored, n, [F.desc("__score")], L4)
+    return _best(pois, n, keys, scored, L4)
 
 
 def cascade(pois: DataFrame, index: DataFrame, n: Names = Names(), t: Thresholds = Thresholds(), *, fuzzy: bool = False) -> DataFrame:
