@@ -55,6 +55,12 @@ def test_cascade(sides, monkeypatch):
     assert sum(n for _, n in layers) <= 16
 
 
+def test_fuzzy_layer(sides):
+    df = match.layer4(*sides)
+    assert rows_of(df) == [(3 * i + j, 0.0, lon, "apt_fuzzy") for i in range(N) for j, lon in enumerate([1.0, 1.0, 3.0])]
+    assert 0 < compared(df) <= 24
+
+
 def test_rows_that_share_an_id(spark):
     """A row for each id, the best of all its addresses; points are counted for each row."""
     pois = spark.createDataFrame([(1, "1", "10", "RUA AUGUSTA", "C", None), (1, "1", "11", "RUA AUGUSTA", "C", None), (2, "1", "12", "RUA B", "C", None), (2, "1", "12", "RUA B", "C", None)], P)
