@@ -147,6 +147,16 @@ def layer4(pois: DataFrame, index: DataFrame, n: Names = Names(), t: Thresholds
     return _best(pois, n, keys, scored, L4)
 
 
+def similar_pairs(df: DataFrame, id: str, keys: Sequence[str], text: str, threshold: float) -> DataFrame:
+    """(a, b, score): the ids, a < b, of all rows with equal keys and similar texts. Distinct
+    texts are compared, in the order in which their rows have them; rows are only joined."""
+    texts = df.select(*keys, F.col(text).alias("__x")).where("__x is not null").distinct()
+    both = texts.join(texts.withColumnRenamed("__x", "__y"), [*keys])
+    links = both.withColumn("score", jaro_winkler(F.col("__x"), F.col("__y"), threshold)).where(F.col("score") >= threshold)
+    first = df.select(F.col(id).alias("a"), *keys, F.col(text).alias("__x")).join(links, [*keys, "__x"]).drop("__x")
+    return first.join(df.select(F.col(id).alias("b"), *keys, F.col(text).alias("__y")), [*keys, "__y"]).where("a < b").select("a", "b", "score")
+
+
 def cascade(pois: DataFrame, index: DataFrame, n: Names = Names(), t: Thresholds = Thresholds(), *, fuzzy: bool = False) -> DataFrame:
     """(id, lat, lon, geo_precision) of the rows that some layer matches, the first that does.
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import cep_key, cep_key_strict, compose_id, fold, haversine_m, index_city, index_number, index_street, jaro_winkler, poi_district, poi_number, poi_street, suburb_clean
+from .functions import cep_key, cep_key_strict, compose_id, fold, haversine_m, index_city, index_number, index_street, poi_district, poi_number, poi_street, suburb_clean
 from .operators import enrich, filters, geocode, match, validate
 from .sinks.files import feature
 
@@ -248,10 +248,7 @@ def cep_keys(spark, d):
 @query("""SELECT a.p_partkey AS a, b.p_partkey AS b, round(jaro_winkler_similarity(a.p_name, b.p_name), 6) AS score
  FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey WHERE jaro_winkler_similarity(a.p_name, b.p_name) >= 0.8""")
 def jw_pairs(spark, d):
-    p = t(spark, d, "part").select("p_partkey", "p_brand", "p_size", "p_name")
-    both = p.toDF("a", "p_brand", "p_size", "x").join(p.toDF("b", "p_brand", "p_size", "y"), ["p_brand", "p_size"]).where("a < b")
-    scored = both.withColumn("s", jaro_winkler(F.col("x"), F.col("y"), 0.8)).where("s >= 0.8")
-    return scored.select("a", "b", r6(F.col("s")).alias("score"))
+    return match.similar_pairs(t(spark, d, "part"), "p_partkey", ["p_brand", "p_size"], "p_name", 0.8).withColumn("score", r6(F.col("score")))
 
 
 #: Parts as points of interest: brand for postcode, size for number, name for street, type for city.

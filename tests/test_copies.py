@@ -68,3 +68,12 @@ def test_rows_that_share_an_id(spark):
     assert rows_of(match.layer1(pois, index)) == [(1, 2.0, 2.0, "apt_cep_num_street")]
     assert rows_of(match.layer3(pois, index)) == [(1, 2.0, 2.0, "apt_street_exact")]
     assert rows_of(match.layer2(pois, index)) == []
+
+
+def test_similar_pairs(spark):
+    rows = [(i, "k", ["large ring", "large rink", "small bolt"][i % 3]) for i in range(3 * N)] + [(900, None, "large ring"), (901, "k", None), (902, "l", "large ring")]
+    df = match.similar_pairs(spark.createDataFrame(rows, "id long, key string, name string"), "id", ["key"], "name", 0.8)
+    got = {(r.a, r.b) for r in df.collect()}
+    near = lambda i, j: (i % 3 == 2) == (j % 3 == 2)
+    assert got == {(i, j) for i in range(3 * N) for j in range(i + 1, 3 * N) if near(i, j)}
+    assert 0 < compared(df) <= 10
