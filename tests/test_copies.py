@@ -61,6 +61,12 @@ def test_fuzzy_layer(sides):
     assert 0 < compared(df) <= 24
 
 
+def test_first_layer(sides):
+    df = match.layer1(*sides)
+    assert rows_of(df) == [(3 * i, 0.0, 1.0, "apt_cep_num_street") for i in range(N)]
+    assert 0 < compared(df) <= 2
+
+
 def test_rows_that_share_an_id(spark):
     """A row for each id, the best of all its addresses; points are counted for each row."""
     pois = spark.createDataFrame([(1, "1", "10", "RUA AUGUSTA", "C", None), (1, "1", "11", "RUA AUGUSTA", "C", None), (2, "1", "12", "RUA B", "C", None), (2, "1", "12", "RUA B", "C", None)], P)
