@@ -67,6 +67,13 @@ def test_first_layer(sides):
     assert 0 < compared(df) <= 2
 
 
+def test_same_address(sides):
+    pois, index = sides
+    df = match.propagate(pois.unionByName(pois.selectExpr("-cnpj - 1 as cnpj", *pois.columns[1:])), match.layer1(pois, index))
+    assert sorted((r.cnpj, r.lat, r.lon) for r in df.collect()) == [(-3 * i - 1, 0.0, 1.0) for i in reversed(range(N))]
+    assert 0 < compared(df) <= 4
+
+
 def test_rows_that_share_an_id(spark):
     """A row for each id, the best of all its addresses; points are counted for each row."""
     pois = spark.createDataFrame([(1, "1", "10", "RUA AUGUSTA", "C", None), (1, "1", "11", "RUA AUGUSTA", "C", None), (2, "1", "12", "RUA B", "C", None), (2, "1", "12", "RUA B", "C", None)], P)
