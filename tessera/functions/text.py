@@ -8,12 +8,14 @@ folded to ASCII and has abbreviations expanded anywhere in the name.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
 from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .arrays import let
+
 #: Street types of the registry side, whole token to word.
 STREET_TYPES = {
     "RUA": ("R", "RUA"),
@@ -35,7 +37,8 @@ ABBREVIATIONS = [
 PREPOSITIONS = "DE|DA|DO|DAS|DOS|E"
 NO_NUMBER = ["S/N", "SN", "S N", "SEM NUMERO", "SEM NÚMERO", "0", "", "N/A", "S"]
 POI_NO_NUMBER = ["S/N", "SN", "S N", "0", ""]
-
+#: One or more characters beyond ASCII, what is stripped from the ends of the index side's texts, and where the blocks of common Latin letters end.
+BEYOND, BLANK, LATIN = r"[^\x00-\x7F]+", " \t\n\x0b\f\r\x1c\x1d\x1e\x1f", 0x180
 
 
 @lru_cache(1)
@@ -48,18 +51,38 @@ def _folded() -> tuple[dict[str, str], dict[str, str]]:
     return one, several
 
 
-def replaced(s: Column, pattern: str, words: Mapping[str, str]) -> Column:
-    """All matches of `pattern`, each replaced by what `words` has for it, in one pass."""
-    found, gaps = F.regexp_extract_all(s, F.lit(pattern), F.lit(0)), F.split(s, pattern)
-    word = lambda k: F.coalesce(F.get(F.lit(list(words.values())), (F.array_position(F.lit(list(words)), k) - 1).cast("int")), F.lit(""))  # noqa: E731  split() leaves one piece more
-    return F.when(s.rlike(pattern), F.array_join(F.zip_with(gaps, found, lambda g, k: F.concat(g, word(k))), "")).otherwise(s)
+def _class(chars: Iterable[str]) -> str:
+    """A character class, neighbours as ranges: a class is looked through one member at a time."""
+    ranges: list[list[int]] = []
+    for c in sorted(map(ord, chars)):
+        if ranges and ranges[-1][1] == c - 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return f"[{''.join(f'{chr(a)}-{chr(b)}' for a, b in ranges)}]"
+
+
+def replaced(s: Column, pattern: str, by: Callable[[Column], Column]) -> Column:
+    """All matches of `pattern`, each replaced by what `by` says of it, in one pass."""
+    put = lambda gap, k: F.concat(gap, F.coalesce(by(k), F.lit("")))  # noqa: E731  split() leaves one piece more
+    return let(s, lambda s: F.when(s.rlike(pattern), F.array_join(F.zip_with(F.split(s, pattern), F.regexp_extract_all(s, F.lit(pattern), F.lit(0)), put), "")).otherwise(s))
+
+
+def _looked_up(k: Column, words: Mapping[str, str]) -> Column:
+    return F.get(F.lit(list(words.values())), (F.array_position(F.lit(list(words)), k) - 1).cast("int"))
+
+
+def _translated(s: Column, chars: Mapping[str, str]) -> Column:
+    return F.translate(s, "".join(chars), "".join(chars.values()))
 
 
 def fold(s: Column) -> Column:
-    """The ASCII part of the compatibility decomposition (NFKD): é is e, º is o, ½ is 12, № is No, ß is nothing."""
+    """The ASCII part of the compatibility decomposition (NFKD): é is e, º is o, ½ is 12, № is No, ß is nothing.
+    Only what stands between ASCII characters is looked at, and most of that is Latin letters, which a short table has."""
     one, several = _folded()
-    whole = replaced(s, f"[{''.join(several)}]", several)
-    return F.when(s.rlike(r"[^\x00-\x7F]"), F.regexp_replace(F.translate(whole, "".join(one), "".join(one.values())), r"[^\x00-\x7F]", "")).otherwise(s)
+    letters = {c: d for c, d in one.items() if ord(c) < LATIN}
+    other = lambda run: F.regexp_replace(_translated(replaced(run, _class(several), lambda k: _looked_up(k, several)), one), BEYOND, "")
+    return replaced(s, BEYOND, lambda run: F.when(run.rlike(f"^{_class(letters)}+$"), _translated(run, letters)).otherwise(other(run)))
 
 
 def digits(s: Column) -> Column:
@@ -128,20 +151,22 @@ def suburb_clean(s: Column) -> Column:
 
 
 def index_street(s: Column) -> Column:
-    """Abbreviations are whole words, none of them the expansion of another, so one pass does for all."""
-    words = dict(ABBREVIATIONS) | dict.fromkeys(PREPOSITIONS.split("|"), "")
-    out = replaced(_strip(F.upper(fold(s))), rf"\b(?:{'|'.join(words)})\b", words)
-    return F.nullif(_strip(_spaced(out)), F.lit(""))
+    """Abbreviations are whole words, none of them the expansion of another, so they are marked in
+    one pass; the marks are no ASCII, which is all that folding leaves, so they are found quickly."""
+    words = {f"«{short}»": full for short, full in ABBREVIATIONS} | {"«»": ""}
+    begin = "".join(sorted({w[0] for w in [*dict(ABBREVIATIONS), *PREPOSITIONS.split("|")]}))
+    marked = F.regexp_replace(_strip(F.upper(fold(s))), rf"(?<!\w)(?=[{begin}])(?:({'|'.join(dict(ABBREVIATIONS))})|{PREPOSITIONS})(?!\w)", "«$1»")
+    out = replaced(marked, "«[A-Z]*»", lambda k: _looked_up(k, words))
+    return let(_strip(_spaced(out)), lambda v: F.nullif(v, F.lit("")))
 
 
 def _strip(s: Column) -> Column:
-    return F.regexp_replace(s, r"^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.trim(s, F.lit(BLANK))
 
 
 def index_number(s: Column) -> Column:
-    up = _strip(F.upper(s))
-    return F.when(~up.isin(*NO_NUMBER), F.nullif(F.regexp_extract(up, "^[0-9]+", 0), F.lit("")))
+    return let(_strip(F.upper(s)), lambda up: F.when(~up.isin(*NO_NUMBER), F.nullif(F.regexp_extract(up, "^[0-9]+", 0), F.lit(""))))
 
 
 def index_city(s: Column) -> Column:
-    return F.nullif(_spaced(_strip(F.upper(fold(s)))), F.lit(""))
+    return let(_spaced(_strip(F.upper(fold(s)))), lambda v: F.nullif(v, F.lit("")))
