@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,10 +64,29 @@ def _ordered(chars: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     return out
 
 
-def _rows(x: list[bytes], y: list[bytes]) -> list[float]:
-    """The similarity of each pair; all pairs move along x together, one byte at a time."""
-    n, m = np.array(list(map(len, x))), np.array(list(map(len, y)))
+def _bins(strings: list[bytes], size: np.ndarray) -> np.ndarray:
+    """How many bytes of each string fall in each of 64 bins."""
+    chars = np.frombuffer(b"".join(strings), np.uint8) & 63
+    return np.bincount(np.repeat(np.arange(len(strings)) * 64, size) + chars, minlength=64 * len(strings)).reshape(-1, 64)
+
+
+def _at_most(x: list[bytes], y: list[bytes], n: np.ndarray, m: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """What no pair's similarity is above: that of as many matching bytes as both have, none of them moved."""
+    same = np.minimum(_bins(x, n), _bins(y, m)).sum(1)
+    j = (same / np.maximum(n, 1) + same / np.maximum(m, 1) + 1) / 3
+    return np.where(j <= BOOST_FROM, j, j + WEIGHT * common * (1 - j))
+
+
+def _rows(x: list[bytes], y: list[bytes], least: float = 0.0) -> list[float]:
+    """The similarity of each pair, or 0 where it can't reach `least`; all pairs move along x together, one byte at a time."""
+    n, m = np.array(list(map(len, x)), np.int64), np.array(list(map(len, y)), np.int64)
     a, b = _matrix(x, n, -1), _matrix(y, m, -2)
+    if least > 0:
+        near = np.flatnonzero(_at_most(x, y, n, m, np.logical_and.accumulate(a[:, :PREFIX] == b[:, :PREFIX], 1).sum(1)) >= least - 1e-9)
+        if len(near) < len(x):
+            out = np.zeros(len(x))
+            out[near] = _rows([x[i] for i in near.tolist()], [y[i] for i in near.tolist()])
+            return out.tolist()
     reach = np.maximum(0, np.maximum(n, m) // 2 - 1)[:, None]
     free, hit, place = np.ones(b.shape, bool), np.zeros(a.shape, bool), np.arange(b.shape[1])
     row = np.arange(len(x))
@@ -87,8 +107,9 @@ def _rows(x: list[bytes], y: list[bytes]) -> list[float]:
 BLOCK, LONGEST = 1 << 22, 512
 
 
-def scores(a: Sequence[str], b: Sequence[str]) -> list[float]:
-    """The similarities of pairs, in blocks of pairs of about the same length; long strings go one by one."""
+def scores(a: Sequence[str], b: Sequence[str], least: float = 0.0) -> list[float]:
+    """The similarities of pairs, in blocks of pairs of about the same length; long strings go one by one.
+    Pairs that can't reach `least` may be 0."""
     x, y = [s.encode() for s in a], [s.encode() for s in b]
     size = np.array([max(len(p), len(q)) for p, q in zip(x, y, strict=True)], np.int64)
     out: list[float] = [0.0] * len(x)
@@ -98,7 +119,7 @@ def scores(a: Sequence[str], b: Sequence[str]) -> list[float]:
     while at < len(short):
         many = max(1, BLOCK // max(1, int(size[short[min(len(short) - 1, at + 4095)]])) // 8)
         block = short[at : at + min(many, 4096)].tolist()
-        for i, score in zip(block, _rows([x[i] for i in block], [y[i] for i in block]), strict=True):
+        for i, score in zip(block, _rows([x[i] for i in block], [y[i] for i in block], least), strict=True):
             out[i] = score
         at += len(block)
     for i in order[len(short) :].tolist():
@@ -106,19 +127,35 @@ def scores(a: Sequence[str], b: Sequence[str]) -> list[float]:
     return out
 
 
-def _score_all(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Each distinct pair of a batch is scored once."""
-    pairs = list(zip(a.to_pylist(), b.to_pylist(), strict=True))
-    number: dict[tuple[str, str], int] = {}
-    for p in pairs:
-        if p[0] is not None and p[1] is not None:
-            number.setdefault(p, len(number))
-    found = scores([p[0] for p in number], [p[1] for p in number])
-    return pa.array([found[number[p]] if p in number else None for p in pairs], pa.float64())
+#: Scores that a worker keeps from batch to batch for each threshold: of so many pairs, with so many characters each.
+KEPT, KEPT_LENGTH = 1 << 16, 200
+_kept: dict[float, dict[tuple[str, str], float]] = {}
+
+
+def _score_all(a: pa.Array, b: pa.Array, least: float = 0.0) -> pa.Array:
+    """Each distinct pair of a batch is scored once, and not again where the worker still knows it."""
+    both = pc.and_(a.is_valid(), b.is_valid())
+    x, y = a.filter(both).dictionary_encode(), b.filter(both).dictionary_encode()
+    p, q = x.dictionary.to_pylist(), y.dictionary.to_pylist()
+    code, at = np.unique(x.indices.to_numpy().astype(np.int64) * len(q) + y.indices.to_numpy(), return_inverse=True)
+    pairs = [(p[c // len(q)], q[c % len(q)]) for c in code.tolist()]
+    kept = _kept.setdefault(least, {})
+    new = [k for k in pairs if k not in kept]
+    fresh = dict(zip(new, scores([k[0] for k in new], [k[1] for k in new], least), strict=True))
+    found = np.array([fresh[k] if k in fresh else kept[k] for k in pairs], np.float64)
+    if len(kept) + len(fresh) > KEPT:
+        kept.clear()
+    kept.update((k, v) for k, v in fresh.items() if len(k[0]) + len(k[1]) <= KEPT_LENGTH)
+    out, some = np.zeros(len(a)), both.to_numpy(zero_copy_only=False)
+    out[some] = found[at]
+    return pa.array(out, pa.float64(), mask=~some)
+
 
+def _scored(a: Column, b: Column, least: float) -> Column:
+    def score(a: pa.Array, b: pa.Array) -> pa.Array:
+        return _score_all(a, b, least)
 
-def _scored(a: Column, b: Column) -> Column:
-    return F.arrow_udf(_score_all, "double").asNondeterministic()(a, b)
+    return F.arrow_udf(score, "double").asNondeterministic()(a, b)
 
 
 def _best(a: Column, b: Column) -> Column:
@@ -133,4 +170,4 @@ def jaro_winkler(a: Column, b: Column, threshold: float = 0.0) -> Column:
     settled = F.when((a == "") | (b == ""), 0.0).when(a == b, 1.0).when(_best(a, b) < threshold - 1e-9, 0.0)
     hard = F.when(a.isNull() | b.isNull() | settled.isNotNull(), None)
     ask = lambda s: F.when(settled.isNull() & a.isNotNull() & b.isNotNull(), s)  # noqa: E731  null elsewhere, so Python skips it
-    return F.when(a.isNull() | b.isNull(), hard.cast("double")).otherwise(F.coalesce(settled, _scored(ask(a), ask(b))))
+    return F.when(a.isNull() | b.isNull(), hard.cast("double")).otherwise(F.coalesce(settled, _scored(ask(a), ask(b), threshold)))

@@ -1,7 +1,8 @@
 """Layered matching of addresses against an index of address points.
 
 Each layer is an equi-join on its keys followed by a similarity filter, so the keys decide
-what is compared and Spark splits the keys that are skewed. What is compared are the distinct
+what is compared. In the first and the fuzzy layer they are dealt to all tasks, however small
+the tables are; a key's pairs are one task's. What is compared are the distinct
 addresses of either side, so copies of an address cost no comparisons; every row is then told
 what was found for its address. Ties go to the smallest coordinates, and a row that an earlier
 layer matched takes no part in later ones.
@@ -96,9 +97,14 @@ def _placed(df: DataFrame, n: Names, label: str) -> DataFrame:
     return df.select(n.id, F.col("__best.__at.__lat").alias("lat"), F.col("__best.__at.__lon").alias("lon"), F.lit(label).alias("geo_precision"))
 
 
-def _best(pois: DataFrame, n: Names, keys: Sequence[str], scored: DataFrame, label: str) -> DataFrame:
-    """One row for each id, that of the highest score; equal scores go to the smallest coordinates."""
-    found = scored.groupBy(*[f"__p{i}" for i in range(len(keys))]).agg(_first(-F.col("__score")))
+def _spread(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows dealt by their keys to as many tasks as the session has for a shuffle. Few rows can
+    make many pairs, and Spark would put them in one task by their size."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def _best(pois: DataFrame, n: Names, keys: Sequence[str], found: DataFrame, label: str) -> DataFrame:
+    """One row for each id, the best of those found for its addresses."""
     return _placed(_of_rows(pois, n, keys, found).groupBy(n.id).agg(F.min("__best").alias("__best")), n, label)
 
 
@@ -106,9 +112,11 @@ def layer1(pois: DataFrame, index: DataFrame, n: Names = Names(), t: Thresholds
     """Equal postcode and number, and a similar street; the most similar one."""
     keys = [n.cep, n.number, n.street]
     points = _points(index, n, "__cep", "__number", "__street").where("__street is not null")
-    both = _addresses(pois, keys).where("__p2 is not null").join(points, (F.col("__p0") == F.col("__cep")) & (F.col("__p1") == F.col("__number")))
+    own = _addresses(pois, keys).where("__p2 is not null")
+    both = _spread(own, "__p0", "__p1").join(_spread(points, "__cep", "__number"), (F.col("__p0") == F.col("__cep")) & (F.col("__p1") == F.col("__number")))
     scored = both.withColumn("__score", jaro_winkler(F.col("__p2"), F.col("__street"), t.street)).where(F.col("__score") >= t.street)
-    return _best(pois, n, keys, scored, L1)
+    found = scored.groupBy(*[f"__p{i}" for i in range(len(keys))]).agg(_first(-F.col("__score")))
+    return _best(pois, n, keys, found, L1)
 
 
 def layer2(pois: DataFrame, index: DataFrame, n: Names = Names()) -> DataFrame:
@@ -138,13 +146,25 @@ def layer4(pois: DataFrame, index: DataFrame, n: Names = Names(), t: Thresholds
     """Equal city and number, a similar street, and a district that is similar or unknown. Only
     on request: without a postcode it finds many wrong streets."""
     keys = [n.city, n.number, n.street, n.district]
-    points = _points(index, n, "__city", "__number", "__street", "__suburb")
-    both = _addresses(pois, keys).where("__p2 is not null").join(points, (F.col("__p0") == F.col("__city")) & (F.col("__p1") == F.col("__number")))
+    points = _points(index, n, "__city", "__number", "__street", "__suburb").where("__street is not null")
+    open_ = F.min(F.when(F.length("__suburb") == 0, F.col("__at"))).alias("__open")
+    streets = points.groupBy("__city", "__number", "__street").agg(F.min("__at").alias("__any"), open_)
+    own, place = _addresses(pois, keys).where("__p2 is not null"), ["__p0", "__p1", "__p2"]
+    both = _spread(own.select(*place).distinct(), "__p0", "__p1").join(_spread(streets, "__city", "__number"), (F.col("__p0") == F.col("__city")) & (F.col("__p1") == F.col("__number")))
     scored = both.withColumn("__score", jaro_winkler(F.col("__p2"), F.col("__street"), t.fuzzy)).where(F.col("__score") >= t.fuzzy)
-    a, b = F.col("__p3"), F.col("__suburb")
-    open_ = a.isNull() | (F.length(b) == 0)
-    scored = scored.withColumn("__d", jaro_winkler(F.when(~open_, a), b, t.district)).where(open_ | (F.col("__d") >= t.district))
-    return _best(pois, n, keys, scored, L4)
+    at = lambda c: F.struct((-F.col("__score")).alias("order"), F.col(c).alias("__at"))
+    linked = scored.groupBy(*place).agg(
+        F.min(at("__any")).alias("__any"), F.min(F.when(F.col("__open").isNotNull(), at("__open"))).alias("__open"), F.collect_list(F.struct((-F.col("__score")).alias("order"), "__street")).alias("__streets")
+    )
+    # An address without a district takes the best point, others the best without one, or a better one of a similar district.
+    better = F.filter("__streets", lambda x: F.col("__p3").isNotNull() & (F.col("__open").isNull() | (x["order"] <= F.col("__open.order"))))
+    known = own.join(linked, place).select(*place, "__p3", F.when(F.col("__p3").isNull(), F.col("__any")).otherwise(F.col("__open")).alias("__sure"), F.explode_outer(better).alias("__x"))
+    asked = _spread(known.select("*", F.col("__x.order").alias("order"), F.col("__x.__street").alias("__y")).drop("__x"), "__p0", "__p1", "__y")
+    closed = _spread(points.where(F.length("__suburb") > 0), "__city", "__number", "__street")
+    on = (F.col("__p0") == F.col("__city")) & (F.col("__p1") == F.col("__number")) & (F.col("__y") == F.col("__street")) & (F.col("__sure").isNull() | (F.struct("order", "__at") < F.col("__sure")))
+    near = asked.join(closed, on, "left").withColumn("__d", jaro_winkler(F.col("__p3"), F.col("__suburb"), t.district))
+    found = near.groupBy(*place, "__p3").agg(F.min(F.least("__sure", F.when(F.col("__d") >= t.district, F.struct("order", "__at")))).alias("__best")).where("__best is not null")
+    return _best(pois, n, keys, found, L4)
 
 
 def similar_pairs(df: DataFrame, id: str, keys: Sequence[str], text: str, threshold: float) -> DataFrame:
