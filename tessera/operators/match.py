@@ -113,9 +113,14 @@ def layer1(pois: DataFrame, index: DataFrame, n: Names = Names(), t: Thresholds
     keys = [n.cep, n.number, n.street]
     points = _points(index, n, "__cep", "__number", "__street").where("__street is not null")
     own = _addresses(pois, keys).where("__p2 is not null")
-    both = _spread(own, "__p0", "__p1").join(_spread(points, "__cep", "__number"), (F.col("__p0") == F.col("__cep")) & (F.col("__p1") == F.col("__number")))
+    same = points.where("__street <> ''").select(F.col("__cep").alias("__p0"), F.col("__number").alias("__p1"), F.col("__street").alias("__p2"), F.col("__at").alias("__same"))
+    known = own.join(same, ["__p0", "__p1", "__p2"], "left")  # no other street is as similar as an equal one
+    rest = _spread(known.where("__same is null").drop("__same"), "__p0", "__p1")
+    both = rest.join(_spread(points, "__cep", "__number"), (F.col("__p0") == F.col("__cep")) & (F.col("__p1") == F.col("__number")))
     scored = both.withColumn("__score", jaro_winkler(F.col("__p2"), F.col("__street"), t.street)).where(F.col("__score") >= t.street)
     found = scored.groupBy(*[f"__p{i}" for i in range(len(keys))]).agg(_first(-F.col("__score")))
+    equal = known.where("__same is not null").select("__p0", "__p1", "__p2", F.struct(F.lit(-1.0).alias("order"), F.col("__same").alias("__at")).alias("__best"))
+    found = found.unionByName(equal)
     return _best(pois, n, keys, found, L1)
 
 

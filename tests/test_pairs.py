@@ -40,6 +40,15 @@ def test_fuzzy_layer_by_brute_force(spark):
     assert len(want) > 50 and sorted((r.cnpj, r.lat, r.lon) for r in got) == want
 
 
+def test_first_layer_takes_equal_streets(spark):
+    """A street that a point has isn't compared with others; empty ones are not equal."""
+    pois = spark.createDataFrame([(i, "1", "10", street, "C", None) for i, street in enumerate(["RUA AUGUSTA", "RUA AUGUSTO", "RUA B", "", None] * 9)], P)
+    index = spark.createDataFrame([("1", "10", street, "C", "", lat, 0.0) for lat, street in enumerate(["RUA AUGUSTA", "RUA AUGUSTAS", "RUA AUGUSTINA", "", "RUA AUGUSTA"], 1) for lat in [float(lat)]], A)
+    df = match.layer1(pois, index)
+    assert sorted((r.cnpj % 5, r.lat) for r in df.collect()) == [(0, 1.0)] * 9 + [(1, 1.0)] * 9
+    assert 0 < compared(df) <= 3 * 4
+
+
 def test_scores_with_a_threshold():
     """A bound sets pairs to 0 only where they are below the threshold."""
     pick = random.Random(6)
