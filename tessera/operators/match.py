@@ -207,7 +207,8 @@ def summary(df: DataFrame, column: str = "geo_precision") -> DataFrame:
 
 def propagate(pois: DataFrame, known: DataFrame, n: Names = Names()) -> DataFrame:
     """Coordinates for rows without any from rows of the same postcode, number and street that
-    have them; the smallest coordinates of several."""
+    have them; the smallest coordinates of several. `known` is read twice or more, so what is long to
+    compute should be written before."""
     keys = [n.cep, n.number, n.street]
     place = pois.join(known, n.id).where("lat is not null and lon is not null").groupBy(*keys).agg(F.min(F.struct("lat", "lon")).alias("at"))
     return pois.join(known.select(n.id), n.id, "left_anti").join(place, keys).select(n.id, F.col("at.lat").alias("lat"), F.col("at.lon").alias("lon"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .functions import cep_key, cep_key_strict, compose_id, fold, haversine_m, index_city, index_number, index_street, poi_district, poi_number, poi_street, suburb_clean
 from .operators import enrich, filters, geocode, match, validate
+from .scratch import saved
 from .sinks.files import feature
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -338,7 +339,7 @@ def precision_summary(spark, d):
 def same_address(spark, d):
     pois, index = _sides(spark, d)
     twins = pois.unionByName(pois.withColumn("cnpj", -F.col("cnpj")))
-    return match.propagate(twins, match.layer1(pois, index))
+    return match.propagate(twins, saved(match.layer1(pois, index), "matched"))  # it is read more than once
 
 
 # --- geocoding ------------------------------------------------------------------------

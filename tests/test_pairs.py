@@ -2,8 +2,10 @@
 
 import random
 
+import duckdb
 from test_copies import A, P, compared
 
+from tessera import queries
 from tessera.functions import jaro_winkler_score
 from tessera.functions.similarity import scores
 from tessera.operators import match
@@ -49,6 +51,16 @@ def test_first_layer_takes_equal_streets(spark):
     assert 0 < compared(df) <= 3 * 4
 
 
+def test_same_address_reads_written_matches(spark):
+    """The first layer is computed once and written; nothing is compared when its rows are read again."""
+    got = queries.QUERIES["same_address"](spark, "/root/testdata/sf0.001")
+    rows = sorted((r.cnpj, r.lat, r.lon) for r in got.collect())
+    con = duckdb.connect()
+    con.sql("CREATE VIEW part AS SELECT * FROM '/root/testdata/sf0.001/part.parquet'")
+    assert rows and rows == sorted(con.execute(queries.ORACLE_SQL["same_address"]).fetchall())
+    assert compared(got) == 0
+
+
 def test_scores_with_a_threshold():
     """A bound sets pairs to 0 only where they are below the threshold."""
     pick = random.Random(6)
